@@ -15,9 +15,10 @@ def extract(
     raw: str,
     start: int = 0,
     batch_size: int = BATCH_SIZE,
+    one_document: bool = True,
 ) -> dict[str, DataFrame]:
     """Write and return the raw tables app_list, app_details, rejected and failed_ids."""
-    named = landing.drop_blank_names(landing.read_app_list(spark, list_path))
+    named = landing.drop_blank_names(landing.read_app_list(spark, list_path, one_document))
     work = landing.work_list(named, start, batch_size)
     work = materialize(work, "app_list", f"{raw}/app_list")
     if work.isEmpty():

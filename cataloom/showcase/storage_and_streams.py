@@ -1,0 +1,277 @@
+"""Files, tables, catalog and streams: data is written, read back and compared."""
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cataloom.operators import explore
+from cataloom.operators.ids import dense_ids
+from cataloom.plans.extract import extract
+from cataloom.schemas import CORRUPT
+from cataloom.showcase import query, roles, table
+from cataloom.showcase.cleaning import raw_details
+from cataloom.showcase.roles import APPS, LANGUAGES
+from cataloom.sources import landing, tables
+from cataloom.sources.raw_csv import read_raw_csv
+from cataloom.storage import scratch_path
+from cataloom.streaming.ingest import ingest_stream, ingested
+
+
+def _json_lines(df: DataFrame, path: str) -> str:
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.text(path)
+    return path
+
+
+def _land_list(spark, d) -> str:
+    """One list document per part, with two applications each."""
+    app = F.struct(F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"))
+    twin = F.struct((-F.col("p_partkey") - 1).alias("appid"), F.col("p_brand").alias("name"))
+    documents = table(spark, d, "part").select(
+        F.struct(F.array(app, twin).alias("apps")).alias("applist")
+    )
+    return _json_lines(documents, scratch_path(spark, "list"))
+
+
+@query("""SELECT p_partkey AS appid, p_name AS name FROM part
+    UNION ALL SELECT -p_partkey - 1, p_brand FROM part""")
+def scan_list_json(spark, d):
+    apps = landing.read_app_list(spark, _land_list(spark, d), one_document=False)
+    return apps.select("appid", "name")
+
+
+def _land_details(spark, d) -> str:
+    """One detail record per part; those of one type are cut short, one type has no id."""
+    part = table(spark, d, "part")
+    appid = F.when(
+        F.col("p_type") == "SMALL", F.concat(F.lit("['"), F.col("p_partkey"), F.lit("']"))
+    ).otherwise(F.col("p_partkey").cast("string"))
+    record = F.to_json(
+        F.struct(
+            appid.alias("appid"),
+            F.col("p_name").alias("name"),
+            F.col("p_size").alias("ccu"),
+            F.create_map(F.col("p_brand"), F.col("p_size")).alias("tags"),
+            F.lit("ignored").alias("score_rank"),
+        )
+    )
+    cut = F.when(F.col("p_type") == "PROMO", F.rtrim(record, F.lit("}"))).otherwise(record)
+    path = scratch_path(spark, "details")
+    part.select(cut.alias("value")).write.text(path)
+    return path
+
+
+@query("""SELECT p_partkey AS appid, p_name AS name, CAST(p_size AS VARCHAR) AS ccu,
+        '{"' || p_brand || '":' || p_size || '}' AS tags
+    FROM part WHERE p_type NOT IN ('PROMO', 'SMALL')""")
+def scan_details_json(spark, d):
+    marked = landing.mark_rejected(landing.read_details(spark, _land_details(spark, d)))
+    good, _ = landing.split_details(marked)
+    return good.select("appid", "name", "ccu", "tags")
+
+
+@query("""SELECT (p_type = 'PROMO') AS cut, count(*) AS num_records FROM part
+    WHERE p_type IN ('PROMO', 'SMALL') GROUP BY ALL""")
+def scan_details_json_rejected(spark, d):
+    marked = landing.mark_rejected(landing.read_details(spark, _land_details(spark, d)))
+    _, rejected = landing.split_details(marked)
+    return rejected.groupBy(F.col(CORRUPT).isNotNull().alias("cut")).agg(
+        F.count("*").alias("num_records")
+    )
+
+
+@query("""SELECT 'app_list' AS table_name, 2 * count(*) AS num_rows FROM part
+    UNION ALL SELECT 'app_details', count(*) FROM part WHERE p_type NOT IN ('PROMO', 'SMALL')
+    UNION ALL SELECT 'rejected', count(*) FROM part WHERE p_type IN ('PROMO', 'SMALL')
+    UNION ALL SELECT 'failed_ids', 2 * count(*)
+        - count(*) FILTER (WHERE p_type NOT IN ('PROMO', 'SMALL')) FROM part""")
+def extract_raw(spark, d):
+    raw = extract(
+        spark, _land_list(spark, d), _land_details(spark, d), scratch_path(spark, "raw"),
+        one_document=False,
+    )
+    counts = [
+        df.agg(F.lit(name).alias("table_name"), F.count("*").alias("num_rows"))
+        for name, df in raw.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("""SELECT applist.appid, applist.name FROM (SELECT unnest([
+        {'appid': p_partkey, 'name': p_name}, {'appid': -p_partkey - 1, 'name': p_brand}])
+        AS applist FROM part)""")
+def inline_list(spark, d):
+    app = F.struct(F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"))
+    twin = F.struct((-F.col("p_partkey") - 1).alias("appid"), F.col("p_brand").alias("name"))
+    return table(spark, d, "part").select(F.inline(F.array(app, twin)))
+
+
+_TEXT_COLUMNS = ("doc_id", "quoted", "text", "blank")
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'a "' || source || '", b' AS quoted, text,
+        CASE WHEN lang <> 'en' THEN '  ' || lang || ' ' END AS blank FROM documents""")
+def scan_raw_csv(spark, d):
+    """Quotes, commas, line breaks, outer blanks and null tokens survive the round trip."""
+    documents = table(spark, d, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"),
+        F.concat(F.lit('a "'), "source", F.lit('", b')).alias("quoted"),
+        "text",
+        F.when(F.col("lang") == "en", F.lit("NA"))
+        .otherwise(F.concat(F.lit("  "), "lang", F.lit(" ")))
+        .alias("blank"),
+    )
+    path = tables.write_table(documents, scratch_path(spark, "documents"), "csv")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in _TEXT_COLUMNS])
+    return read_raw_csv(spark, path, schema).drop("row_seq")
+
+
+@query("""SELECT o_orderstatus, count(*) AS num_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
+    FROM orders GROUP BY ALL""")
+def append_batches(spark, d):
+    """A reset target filled batch by batch holds every row once."""
+    orders = table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus", "o_totalprice"
+    )
+    path, fields = scratch_path(spark, "batches"), ("o_orderkey", "o_orderstatus")
+    tables.reset_batches(spark, path, fields)
+    for status in ("F", "O", "P"):
+        tables.append_batch(orders.where(F.col("o_orderstatus") == status), path, fields)
+    return (
+        spark.read.parquet(path)
+        .groupBy("o_orderstatus")
+        .agg(
+            F.count("*").alias("num_rows"),
+            F.sum(F.col("o_orderkey").cast("bigint")).alias("key_sum"),
+        )
+    )
+
+
+def _new_database(spark) -> str:
+    path = scratch_path(spark, "db")
+    name = "cataloom_" + path.split("/")[-2]
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
+@query(f"""WITH {APPS}, {LANGUAGES}
+    SELECT normalized_language, name, count(*) AS num_links,
+        CAST(sum(owners_max) AS BIGINT) AS owners
+    FROM apps JOIN apps_languages USING (id_app) JOIN languages USING (id_language)
+    GROUP BY ALL""")
+def full_refresh_roundtrip(spark, d):
+    """Stage, create, load twice; the tables hold one copy."""
+    database, root = _new_database(spark), scratch_path(spark, "tables")
+    names = ("apps", "languages", "apps_languages")
+    apps = roles.apps(spark, d)
+    for missing in (
+        "owners_min", "average_forever_hs", "median_forever_hs", "median_2weeks_hs",
+        "initial_price_usd",
+    ):
+        apps = apps.withColumn(missing, F.lit(None).cast("string"))
+    staged = scratch_path(spark, "staged")
+    tables.write_tables(
+        {
+            "apps": tables.project(apps, tables.CLEAN["apps"].names),
+            "languages": roles.languages(spark, d),
+            "apps_languages": roles.apps_languages(spark, d),
+        },
+        staged,
+        "csv",
+    )
+    tables.create_tables(spark, root, names, database)
+    for _ in range(2):
+        tables.load_tables(spark, staged, root, names, database, "csv")
+    loaded = {n: spark.table(f"{database}.{n}") for n in names}
+    joined = loaded["apps_languages"].join(loaded["apps"], "id_app")
+    return (
+        joined.join(loaded["languages"], "id_language")
+        .groupBy("normalized_language", "name")
+        .agg(F.count("*").alias("num_links"), F.sum("owners_max").alias("owners"))
+    )
+
+
+@query("""SELECT p_type, count(*) AS num_parts, round(avg(p_size / CAST(60 AS DOUBLE)), 6) AS hours
+    FROM part WHERE p_name <> 'Shoot ''Em Up' AND p_size >= 10 GROUP BY p_type""")
+def adhoc_sql(spark, d):
+    table(spark, d, "part").createOrReplaceTempView("cataloom_part")
+    return tables.run_sql(
+        spark,
+        """SELECT p_type, count(*) AS num_parts, round(avg(p_size / 60.0D), 6) AS hours
+           FROM cataloom_part WHERE p_name <> :label AND p_size >= :low GROUP BY p_type""",
+        {"label": "Shoot 'Em Up", "low": 10},
+    )
+
+
+_GIVEN = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "labels", "pages", "conversations",
+)
+
+
+def _catalog(spark, d) -> str:
+    database = _new_database(spark)
+    for name in _GIVEN:
+        spark.catalog.createTable(f"{database}.{name}", f"{d}/{name}.parquet", "parquet")
+    return database
+
+
+def _counts(frames) -> DataFrame:
+    parts = [
+        df.agg(F.lit(name).alias("table_name"), F.count("*").alias("num_rows"))
+        for name, df in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS num_rows FROM {n}" for n in sorted(_GIVEN)))
+def catalog_tables(spark, d):
+    database = _catalog(spark, d)
+    names = explore.table_names(spark, database)
+    return _counts({name: spark.table(f"{database}.{name}") for name in names})
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, least(count(*), 100) AS num_rows FROM {n}"
+    for n in sorted(_GIVEN)))
+def preview(spark, d):
+    return _counts(explore.preview(spark, _catalog(spark, d)))
+
+
+_EVENTS = T.StructType(
+    [
+        T.StructField(n, T.StringType())
+        for n in ("event_id", "user_id", "event_type", "props", CORRUPT)
+    ]
+)
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
+        event_type, props FROM events""")
+def ingest_events(spark, d):
+    """Two landings of files, taken up by three runs; the last finds nothing new."""
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type", "props")
+    landed, target = scratch_path(spark, "landing"), scratch_path(spark, "ingested")
+    checkpoint = scratch_path(spark, "checkpoint")
+    is_click = F.col("event_type") == "click"
+    for part in (events.where(is_click), events.where(~is_click), None):
+        if part is not None:
+            lines = part.select(F.to_json(F.struct(*part.columns)).alias("value"))
+            lines.write.mode("append").text(landed)
+        ingest_stream(
+            spark, landed, target, checkpoint, files_per_batch=2, schema=_EVENTS, key="event_id"
+        ).awaitTermination()
+    return ingested(spark, target, schema=_EVENTS).drop("batch_id")
+
+
+@query("""SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS position,
+        CAST(p_partkey // 2 AS VARCHAR) AS appid,
+        CASE WHEN p_name <> 'old ring' THEN p_name END AS name FROM part""")
+def raw_csv_file_order(spark, d):
+    """Raw records written as several CSV files come back in the order of the files."""
+    raw = raw_details(spark, d).repartitionByRange(5, "row_seq").sortWithinPartitions("row_seq")
+    path = tables.write_table(raw.drop("row_seq"), scratch_path(spark, "raw"), "csv")
+    back = read_raw_csv(spark, path).select("row_seq", "appid", "name")
+    return dense_ids(back, ["row_seq"], "position").drop("row_seq")

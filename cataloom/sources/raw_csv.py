@@ -40,7 +40,7 @@ def read_raw_csv(
     A file with line breaks inside fields cannot be split, so it is one task's work:
     land many files, and write the result as Parquet once for everything later.
     """
-    ordered = with_file_order(read_csv(spark, path, schema))
+    ordered = with_file_order(read_csv(spark, path, schema), path)
     cells = {
         f.name: null_tokens(F.col(f.name), tokens)
         for f in schema
