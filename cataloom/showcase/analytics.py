@@ -169,10 +169,11 @@ def free_paid_split_language(spark, d):
 
 
 @query(f"""WITH {APPS}, {LANGUAGES}
-    SELECT 'NATION_16' AS normalized_language,
+    SELECT normalized_language,
         count(DISTINCT CASE WHEN price_usd = 0 THEN id_app END) AS free_apps,
         count(DISTINCT CASE WHEN price_usd > 0 THEN id_app END) AS paid_apps
-    FROM {_BY_LANGUAGE} WHERE normalized_language = 'NATION_16'""")
+    FROM {_BY_LANGUAGE} WHERE normalized_language = 'NATION_16'
+    GROUP BY normalized_language""")
 def free_paid_split_distinct_facts(spark, d):
     return _split_language(spark, d, distinct_facts=True)
 
