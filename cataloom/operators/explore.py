@@ -170,3 +170,11 @@ def freshness(
     else:
         local = F.col("last_update")
     return last.select(local.alias("last_update"), message.alias("message"))
+
+
+def table_freshness(
+    spark: SparkSession, table: str, now: datetime, zone: str | None = None, latest: bool = False
+) -> DataFrame:
+    """Freshness of a stored table; a row was loaded when its file was written."""
+    written = F.col("_metadata.file_modification_time").alias("_loaded_at")
+    return freshness(spark.table(table).select(written), now, zone=zone, latest=latest)

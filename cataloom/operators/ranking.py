@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cataloom.constants import PRICE_CEILING, RANKING_ROWS
+from cataloom.operators.sizes import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -99,7 +100,7 @@ def related_labels(
     n: int = RANKING_ROWS,
 ) -> DataFrame:
     """Most frequent labels of dimension B among facts that have one label of dimension A."""
-    chosen = dim_a.where(F.col(label_a) == F.lit(value)).select(dim_id_a)
+    chosen = broadcast_if_small(dim_a.where(F.col(label_a) == F.lit(value)).select(dim_id_a))
     # distinct() replaces the exchange the join needs and drops repeats before it.
     facts = bridge_a.join(chosen, dim_id_a, "left_semi").select(fact_id).distinct()
     per_id = (
@@ -129,14 +130,14 @@ def free_paid_split(
     distinct_facts: bool = False,
 ) -> DataFrame:
     """Free and paid facts of one label; no row for an unknown label, null price in neither."""
-    chosen = dim.where(F.col(label) == F.lit(value)).select(dim_id, label)
-    hits = bridge.select(fact_id, dim_id).join(chosen, dim_id).select(fact_id, label)
+    chosen = broadcast_if_small(dim.where(F.col(label) == F.lit(value)).select(dim_id))
+    hits = bridge.select(fact_id, dim_id).join(chosen, dim_id).select(fact_id)
     if distinct_facts:
         hits = hits.distinct()
     amount = F.col(price)
     return (
         hits.join(fact.select(fact_id, price), fact_id)
-        .groupBy(label)
+        .groupBy(F.lit(value).alias(label))
         .agg(
             F.sum(F.when(amount == 0, 1).otherwise(0)).alias("free_apps"),
             F.sum(F.when(amount > 0, 1).otherwise(0)).alias("paid_apps"),

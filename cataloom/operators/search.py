@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cataloom.constants import SEARCH_ROWS
 from cataloom.operators.ranking import top_n
+from cataloom.operators.sizes import broadcast_if_small
 
 SEARCH_COLUMNS = (
     "name", "developer", "publisher", "peak_ccu_yesterday", "average_2weeks_hs",
@@ -44,7 +45,7 @@ def facet_matches(facet: Facet, fact_id: str) -> DataFrame:
     dim = facet.dim.where(name.isin(values))
     links = facet.bridge.select(fact_id, facet.dim_id)
     if facet.match_key == "id":
-        hits = links.join(dim.select(facet.dim_id), facet.dim_id)
+        hits = links.join(broadcast_if_small(dim.select(facet.dim_id)), facet.dim_id)
         found = hits.groupBy(fact_id).agg(F.count_distinct(facet.dim_id).alias("_found"))
         return found.where(F.col("_found") == len(values)).select(fact_id)
     if facet.match_key != "label":
@@ -59,7 +60,7 @@ def facet_matches(facet: Facet, fact_id: str) -> DataFrame:
         words.append(bits.alias(f"_w{len(words)}"))
     marks = [f"_w{i}" for i in range(len(words))]
     found = (
-        links.join(dim.select(facet.dim_id, *words), facet.dim_id)
+        links.join(broadcast_if_small(dim.select(facet.dim_id, *words)), facet.dim_id)
         .groupBy(fact_id)
         .agg(*[F.bit_or(m).alias(m) for m in marks])
     )

@@ -48,49 +48,50 @@ _BY_GENRE = "apps JOIN apps_genres USING (id_app) JOIN genres USING (id_genre)"
 _BY_TAG = "apps JOIN apps_tags USING (id_app) JOIN tags USING (id_tag)"
 
 
-@query(_rank_sql(f"{APPS}, {LANGUAGES}", _BY_LANGUAGE, "normalized_language",
-                 "count(id_app)", "apps_count", rounded=False))
-def rank_count(spark, d):
-    return _rank_languages(spark, d, "apps_count")
+def _rank_genres(spark, d, criterion, **options) -> DataFrame:
+    dim, bridge = roles.genres(spark, d)
+    return rank_by_dimension(
+        roles.apps(spark, d), bridge, dim, **GENRE_KEYS, criterion=criterion, **options
+    )
 
 
-def _register_averages():
-    for criterion, rule in CRITERIA.items():
-        if rule.column is None:
-            continue
-        extra = f" AND {rule.column} > 0" if rule.positive_only else ""
-        sql = _rank_sql(
-            f"{APPS}, {LANGUAGES}", _BY_LANGUAGE, "normalized_language",
-            f"avg({rule.column})", rule.alias, extra, n=20, low=1, high=8,
-        )
+def _rank_tags(spark, d, criterion, **options) -> DataFrame:
+    return rank_by_dimension(
+        roles.apps(spark, d), roles.apps_tags(spark, d), roles.tags(spark, d),
+        **TAG_KEYS, criterion=criterion, **options,
+    )
 
-        def run(spark, d, criterion=criterion, alias=rule.alias):
-            ranking = _rank_languages(spark, d, criterion, n=20, price_range=(1, 8))
-            return _rounded(ranking, alias)
 
-        query(sql, f"rank_{rule.alias}")(run)
+@query(_rank_sql(f"{APPS}, {LANGUAGES}", _BY_LANGUAGE, "normalized_language",
+                 "count(id_app)", "apps_count", rounded=False))
+def rank_count(spark, d):
+    return _rank_languages(spark, d, "apps_count")
 
 
-_register_averages()
+def _register_rankings() -> None:
+    """Every dimension by every criterion, in a price range that leaves some facts out."""
+    dimensions = {
+        "languages": (_rank_languages, LANGUAGES, _BY_LANGUAGE, "normalized_language"),
+        "genres": (_rank_genres, GENRES, _BY_GENRE, "genre"),
+        "tags": (_rank_tags, TAGS, _BY_TAG, "tag"),
+    }
+    for dimension, (rank, tables, frm, label) in dimensions.items():
+        for criterion, rule in CRITERIA.items():
+            extra = f" AND {rule.column} > 0" if rule.positive_only else ""
+            measure = f"avg({rule.column})" if rule.column else "count(id_app)"
+            sql = _rank_sql(
+                f"{APPS}, {tables}", frm, label, measure, rule.alias, extra,
+                rounded=bool(rule.column), n=20, low=0, high=8,
+            )
 
+            def run(spark, d, rank=rank, criterion=criterion, rule=rule):
+                ranking = rank(spark, d, criterion, n=20, price_range=(0, 8))
+                return _rounded(ranking, rule.alias) if rule.column else ranking
 
-@query(_rank_sql(f"{APPS}, {GENRES}", _BY_GENRE, "genre", "avg(price_usd)", "avg_price_usd",
-                 " AND price_usd > 0"))
-def rank_genres_avg_price_positive(spark, d):
-    dim, bridge = roles.genres(spark, d)
-    ranking = rank_by_dimension(
-        roles.apps(spark, d), bridge, dim, **GENRE_KEYS, criterion="price_usd"
-    )
-    return _rounded(ranking, "avg_price_usd")
+            query(sql, f"rank_{dimension}_{rule.alias}")(run)
 
 
-@query(_rank_sql(f"{APPS}, {TAGS}", _BY_TAG, "tag", "count(id_app)", "apps_count",
-                 rounded=False, n=20))
-def rank_tags_count(spark, d):
-    return rank_by_dimension(
-        roles.apps(spark, d), roles.apps_tags(spark, d), roles.tags(spark, d),
-        **TAG_KEYS, criterion="apps_count", n=20,
-    )
+_register_rankings()
 
 
 @query(_rank_sql(f"{APPS}, {LANGUAGES}", _BY_LANGUAGE, "normalized_language",

@@ -9,12 +9,12 @@ from pyspark.sql import types as T
 from cataloom.operators import explore
 from cataloom.operators.ids import dense_ids
 from cataloom.plans.extract import extract
-from cataloom.schemas import CORRUPT
+from cataloom.schemas import CORRUPT, RAW_LIST, RAW_LIST_COLUMNS
 from cataloom.showcase import query, roles, table
 from cataloom.showcase.cleaning import raw_details
 from cataloom.showcase.roles import APPS, LANGUAGES
 from cataloom.sources import landing, tables
-from cataloom.sources.raw_csv import read_raw_csv
+from cataloom.sources.raw_csv import read_csv, read_raw_csv
 from cataloom.storage import scratch_path
 from cataloom.streaming.ingest import ingest_stream, ingested
 
@@ -127,6 +127,17 @@ def scan_raw_csv(spark, d):
     return read_raw_csv(spark, path, schema).drop("row_seq")
 
 
+@query("SELECT CAST(p_partkey AS VARCHAR) AS appid FROM part")
+def scan_csv_ids(spark, d):
+    """Only the ids of a written application list."""
+    apps = table(spark, d, "part").select(
+        F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"), "p_brand"
+    )
+    path = scratch_path(spark, "app_list")
+    tables.write_table(apps, path, "csv", RAW_LIST_COLUMNS)
+    return read_csv(spark, path, RAW_LIST).select("appid")
+
+
 @query("""SELECT o_orderstatus, count(*) AS num_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
     FROM orders GROUP BY ALL""")
 def append_batches(spark, d):

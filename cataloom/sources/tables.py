@@ -78,42 +78,29 @@ def read_staged(spark: SparkSession, base: str, name: str, fmt: str = "parquet")
     return spark.read.schema(writable(schema)).format(fmt).load(f"{base}/{name}")
 
 
-def _qualified(database: str, name: str) -> str:
-    return f"`{database}`.`{name}`"
-
-
 def create_tables(
-    spark: SparkSession, root: str, names: Sequence[str] = tuple(CLEAN), database: str = "default"
+    spark: SparkSession,
+    root: str,
+    names: Sequence[str] = tuple(CLEAN),
+    database: str = "default",
+    buckets: int = 0,
 ) -> None:
     """Create the missing ones of the clean tables, empty, below ``root``."""
     for name in load_order(names):
         if not spark.catalog.tableExists(f"{database}.{name}"):
-            _switch(spark, database, name, _empty_version(spark, root, name))
+            _empty(spark, root, name, database, buckets)
 
 
 def prepare_tables(
-    spark: SparkSession, root: str, names: Sequence[str] = tuple(CLEAN), database: str = "default"
+    spark: SparkSession,
+    root: str,
+    names: Sequence[str] = tuple(CLEAN),
+    database: str = "default",
+    buckets: int = 0,
 ) -> None:
     """Empty the clean tables, creating those that are missing."""
     for name in load_order(names):
-        _switch(spark, database, name, _empty_version(spark, root, name))
-
-
-def _empty_version(spark: SparkSession, root: str, name: str) -> str:
-    path = f"{root}/{uuid.uuid4().hex}/{name}"
-    return write_table(spark.createDataFrame([], writable(CLEAN[name])), path)
-
-
-def _switch(spark: SparkSession, database: str, name: str, path: str) -> None:
-    """Point a table at a finished directory."""
-    table = _qualified(database, name)
-    if spark.catalog.tableExists(f"{database}.{name}"):
-        location = path.replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-        spark.catalog.refreshTable(table)
-    else:
-        schema = writable(CLEAN[name])
-        spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+        _empty(spark, root, name, database, buckets)
 
 
 def load_tables(
@@ -123,23 +110,73 @@ def load_tables(
     names: Sequence[str] = tuple(CLEAN),
     database: str = "default",
     fmt: str = "parquet",
+    buckets: int = 0,
 ) -> dict[str, DataFrame]:
     """Full refresh of tables from staged directories; gives the rejected rows per table.
 
     All tables are written to a new directory first; only then is each table pointed at
     its new data, parents before children. A failure on the way leaves the old data in
     place, and no reader meets an empty table.
+
+    With ``buckets`` the facts and bridges are stored bucketed by application, so that
+    joining them shuffles neither. One application's links then stay in one file; leave
+    it off where a single application may hold a large share of all links.
     """
     version = f"{root}/{uuid.uuid4().hex}"
     rejected = {}
     for name in load_order(names):
         good, rejected[name] = conform(read_staged(spark, staged, name, fmt), CLEAN[name])
-        write_table(good, f"{version}/{name}")
+        _write_version(good, f"{version}/{name}", database, buckets)
     for name in load_order(names):
-        _switch(spark, database, name, f"{version}/{name}")
+        _switch(spark, database, name, f"{version}/{name}", buckets)
     return rejected
 
 
+BUCKET_KEY = "id_app"
+
+
+def _empty(spark: SparkSession, root: str, name: str, database: str, buckets: int) -> None:
+    path = f"{root}/{uuid.uuid4().hex}/{name}"
+    _write_version(spark.createDataFrame([], writable(CLEAN[name])), path, database, buckets)
+    _switch(spark, database, name, path, buckets)
+
+
+def _write_version(df: DataFrame, path: str, database: str, buckets: int) -> None:
+    if not buckets or BUCKET_KEY not in df.columns:
+        write_table(df, path)
+        return
+    # Spark writes buckets only through a table; its files outlive this external one.
+    holder = f"`{database}`.`v{uuid.uuid4().hex}`"
+    writer = df.repartition(buckets, BUCKET_KEY).write.format("parquet").option("path", path)
+    writer.bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY).saveAsTable(holder)
+    df.sparkSession.sql(f"DROP TABLE {holder}")
+
+
+def _bucket_count(spark: SparkSession, table: str) -> int:
+    described = spark.sql(f"DESCRIBE EXTENDED {table}")
+    row = described.where(F.col("col_name") == "Num Buckets").first()
+    return int(row["data_type"]) if row else 0
+
+
+def _switch(spark: SparkSession, database: str, name: str, path: str, buckets: int) -> None:
+    """Point a table at a finished directory."""
+    table = f"`{database}`.`{name}`"
+    columns = writable(CLEAN[name])
+    buckets = buckets if BUCKET_KEY in columns.names else 0
+    location = path.replace("'", "\\'")
+    if spark.catalog.tableExists(f"{database}.{name}"):
+        if _bucket_count(spark, table) == buckets:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")
+    clustered = f"CLUSTERED BY ({BUCKET_KEY}) SORTED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS"
+    spark.sql(
+        f"CREATE TABLE {table} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in columns)})"
+        f" USING parquet {clustered if buckets else ''} LOCATION '{location}'"
+    )
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
     """Append rows to a table of an external database, keeping its structure."""
     df.write.jdbc(url, table, mode="append", properties=properties)

@@ -2,6 +2,7 @@
 
 import csv
 import json
+from datetime import datetime, timedelta, timezone
 
 import pytest
 
@@ -250,3 +251,41 @@ def test_no_python_in_the_star_plan(spark, raw_csv):
 def test_run_sql_takes_parameters(spark):
     found = tables.run_sql(spark, "SELECT :label AS label", {"label": "Shoot 'Em Up"})
     assert found.first()["label"] == "Shoot 'Em Up"
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, landed, tmp_path, rows):
+    spark.sql("CREATE DATABASE plain")
+    spark.sql("CREATE DATABASE bucketed")
+    base, root = str(tmp_path / "base"), str(tmp_path / "tables")
+    run(spark, *landed, base, database="plain")
+    for buckets in (0, 4, 4, 3):  # first load, change of layout, refresh, change again
+        tables.load_tables(
+            spark, f"{base}/clean", root, database="bucketed", buckets=buckets
+        )
+        for name in CLEAN:
+            assert rows(spark.table(f"bucketed.{name}")) == rows(spark.table(f"plain.{name}"))
+    assert explore.table_names(spark, "bucketed") == sorted(CLEAN)
+
+    def exchanges(database):
+        joined = spark.table(f"{database}.apps").join(
+            spark.table(f"{database}.apps_genres"), "id_app"
+        )
+        return joined._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges("plain") == 2 and exchanges("bucketed") == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_table_freshness(spark, landed, tmp_path):
+    spark.sql("CREATE DATABASE fresh")
+    before = datetime.now(timezone.utc)
+    run(spark, *landed, str(tmp_path / "base"), database="fresh")
+    now = datetime.now(timezone.utc)
+    found = explore.table_freshness(spark, "fresh.apps", now).first()
+    assert found["message"].startswith("Last database update: 0d 0h 0m ")
+    loaded = found["last_update"].astimezone(timezone.utc)
+    assert before - timedelta(seconds=2) <= loaded <= now

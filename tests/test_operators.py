@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from cataloom.operators import explore, ids, normalize, quality
+from cataloom.operators import explore, ids, normalize, quality, sizes
 from cataloom.operators.ranking import (
     CRITERIA,
     free_paid_split,
@@ -270,6 +270,13 @@ def test_search_match_key(star):
     assert found_names(star, ["Spanish", "unknown"], "label") == []
 
 
+def test_search_without_broadcast(star, monkeypatch):
+    expected = found_names(star, ["Spanish", "English"], "label")
+    monkeypatch.setattr(sizes, "BROADCAST_ROWS", 0)
+    assert found_names(star, ["Spanish", "English"], "label") == expected
+    assert found_names(star, ["Spanish"], "id") == ["b"]
+
+
 def test_search_with_many_labels(star):
     many = [f"none{i}" for i in range(150)]
     assert found_names(star, ["English", *many], "label") == []
