@@ -33,19 +33,20 @@ def clean_labels(text: Column, fragments=LABEL_REMOVALS) -> Column:
 
     Markup fragments go, line breaks become blanks, and entries that are no label
     (``#…``, ``(…``, ``not supported``) are left out, each tested on its own.
+    No fragment holds a comma, so none reaches over two entries: the text is cleaned as a
+    whole, in compiled code, and only then split.
     """
-
-    def tidy(entry: Column) -> Column:
-        entry = remove_fragments(entry, fragments)
-        for line_break in ("\r\n", "\n"):
-            entry = F.replace(entry, F.lit(line_break), F.lit(" "))
-        return strip(entry)
+    if any("," in f for f in fragments):
+        raise ValueError("a fragment cannot contain the separator")
+    text = remove_fragments(text, fragments)
+    for line_break in ("\r\n", "\n"):
+        text = F.replace(text, F.lit(line_break), F.lit(" "))
 
     def usable(entry: Column) -> Column:
         marked = entry.startswith("#") | entry.startswith("(")
         return ~marked & (F.lower(entry) != "not supported")
 
-    return F.filter(F.transform(F.split(text, ","), tidy), usable)
+    return F.filter(split_trim(text), usable)
 
 
 def canonical_label(text: Column, names=CANONICAL_LANGUAGES) -> Column:

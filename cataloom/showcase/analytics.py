@@ -34,7 +34,9 @@ def _rank_languages(spark, d, criterion, **options) -> DataFrame:
     )
 
 
-def _rank_sql(roles_sql, frm, label, measure, alias, extra="", rounded=True, n=10, low=0, high=1500):
+def _rank_sql(
+    roles_sql, frm, label, measure, alias, extra="", rounded=True, n=10, low=0, high=1500
+):
     shown = f"round({alias}, 6) AS {alias}" if rounded else alias
     return f"""WITH {roles_sql}, ranked AS (
         SELECT {label}, {measure} AS {alias} FROM {frm}
@@ -298,14 +300,14 @@ def search_three_facets(spark, d):
 
 
 @query(f"""WITH {APPS}, {LANGUAGES}, found AS (
-    {_search_sql(_ALL_LANGUAGES.format(key="normalized_language"), "price_usd", 200)})
+    {_search_sql(_ALL_LANGUAGES.format(key="normalized_language"), "owners_max", 1000)})
     SELECT * FROM found WHERE price_usd BETWEEN 2 AND 6
         AND publisher IN ('ECONOMY', 'PROMO') AND regexp_matches(name, 'old|w[a-i]dget$')""")
 def search_post_filter(spark, d):
     """Ad-hoc filters act on the rows left by the limit, not before it."""
     facet = _language_facet(spark, d, ["NATION_16", "NATION_20"], "label")
     found = search(
-        roles.apps(spark, d), [facet], fact_id="id_app", order_by="price_usd", n=200
+        roles.apps(spark, d), [facet], fact_id="id_app", order_by="owners_max", n=1000
     )
     return explore.apply_filters(
         found,

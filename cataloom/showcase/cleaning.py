@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cataloom.constants import CANONICAL_LANGUAGES, LABEL_REMOVALS, NULL_TOKENS, WHITESPACE
+from cataloom.constants import CANONICAL_LANGUAGES, LABEL_REMOVALS, WHITESPACE
 from cataloom.functions import (
     canonical_label as canonical,
     cents_to_units,
@@ -24,6 +24,7 @@ from cataloom.showcase import query, roles, table
 from cataloom.showcase.roles import GENRES
 from cataloom.sources import landing
 from cataloom.sources.tables import append_all, conform, project
+from cataloom.storage import materialize
 
 
 def sql_text(value: str) -> str:
@@ -78,6 +79,7 @@ def _phrases(spark, d):
     documents = table(spark, d, "documents").select(
         "doc_id", labels_of(F.col("text")).alias("phrases")
     )
+    documents = materialize(documents, "phrases")
     return normalize_list(documents, "doc_id", "phrases", "id_phrase", "phrase", "doc_id")
 
 
@@ -148,7 +150,8 @@ _POSITIONS = """positions AS (SELECT o_orderkey,
 
 
 def _batches(spark, d):
-    orders = ids.dense_ids(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], "position")
+    orders = table(spark, d, "orders").select("o_orderkey")
+    orders = ids.dense_ids(orders, ["o_orderkey"], "position")
     return ids.with_batch(orders, "position", size=700)
 
 

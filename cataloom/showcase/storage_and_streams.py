@@ -274,7 +274,9 @@ def ingest_events(spark, d):
         ingest_stream(
             spark, landed, target, checkpoint, files_per_batch=2, schema=_EVENTS, key="event_id"
         ).awaitTermination()
-    return ingested(spark, target, schema=_EVENTS).drop("batch_id")
+    return ingested(spark, target, schema=_EVENTS).select(
+        "event_id", "user_id", "event_type", "props"
+    )
 
 
 @query("""SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS position,

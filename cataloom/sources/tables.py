@@ -170,11 +170,13 @@ def _switch(spark: SparkSession, database: str, name: str, path: str, buckets: i
             spark.catalog.refreshTable(table)
             return
         spark.sql(f"DROP TABLE {table}")
-    clustered = f"CLUSTERED BY ({BUCKET_KEY}) SORTED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS"
-    spark.sql(
-        f"CREATE TABLE {table} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in columns)})"
-        f" USING parquet {clustered if buckets else ''} LOCATION '{location}'"
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+    layout = (
+        f"CLUSTERED BY ({BUCKET_KEY}) SORTED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS"
+        if buckets
+        else ""
     )
+    spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet {layout} LOCATION '{location}'")
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:

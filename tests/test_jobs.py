@@ -13,7 +13,7 @@ from cataloom.plans.transform import build_star, clean_facts
 from cataloom.schemas import CLEAN, RAW_DETAIL_COLUMNS
 from cataloom.sources import landing, tables
 from cataloom.sources.raw_csv import read_raw_csv
-from cataloom.streaming.ingest import ingest_stream, ingested
+from cataloom.streaming.ingest import ingest_stream, ingested, ingested_details
 
 BASE = {
     "name": "n", "developer": "d", "publisher": "p", "owners": "10,000 .. 20,000",
@@ -138,6 +138,18 @@ def test_extract(spark, landed, tmp_path, rows):
     assert raw["rejected"].count() == 2
 
 
+def test_first_landed_record_answers(spark, landed, tmp_path):
+    path = tmp_path / "details"
+    # Longer files are scanned first, but the order is that of the paths.
+    (path / "b.json").write_text(
+        "\n".join(json.dumps(record(a, name=f"b{i}")) for i in range(50) for a in (3, 4))
+    )
+    raw = extract(spark, *landed, str(tmp_path / "raw"))
+    names = {r["appid"]: r["name"] for r in raw["app_details"].collect()}
+    assert names == {"3": "n", "4": "b0", "5": "n", "7": "named"}
+    assert raw["app_details"].count() == 4
+
+
 def test_extract_from_a_start_index(spark, landed, tmp_path):
     raw = extract(spark, *landed, str(tmp_path / "raw"), start=3, batch_size=2)
     work = [(r["row_seq"], r["appid"], r["batch_id"]) for r in raw["app_list"].collect()]
@@ -199,7 +211,8 @@ def test_load_order():
 
 
 def test_conform_splits_bad_rows(spark, rows):
-    df = spark.createDataFrame([("1", "a"), ("x", "b"), (None, "c")], "id_genre string, genre string")
+    data = [("1", "a"), ("x", "b"), (None, "c")]
+    df = spark.createDataFrame(data, "id_genre string, genre string")
     good, bad = tables.conform(df, CLEAN["genres"])
     assert rows(good) == [(1, "a")] and rows(bad) == [("x", "b"), (None, "c")]
 
@@ -238,6 +251,10 @@ def test_stream_restart_adds_nothing(spark, tmp_path, rows):
     (landing_dir / "3.json").write_text(json.dumps(record("3")))
     assert take() == [("1",), ("2",), ("3",)]
     assert ingested(spark, target, rejected=True).count() == 1
+    details = ingested_details(spark, target)
+    assert rows(details.select("row_seq", "appid")) == [(0, "1"), (1, "2"), (2, "3")]
+    star, _ = build_star(details)
+    assert rows(star["apps"].select("id_app")) == [(1,), (2,), (3,)]
     assert rows(ingested(spark, target).groupBy("batch_id").count().select("count")) == [
         (1,), (1,), (1,),
     ]
