@@ -6,12 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cataloom.constants import WEIGHTED_REPAIRS
+from cataloom.functions.numbers import to_long
 
 
 def parse_weighted(text: Column, repairs=WEIGHTED_REPAIRS) -> Column:
-    """Map from label to weight; null for none (null, empty, ``[]``) and for broken text."""
+    """Map from label to weight; null for none (null, empty, ``[]``) and for broken text.
+
+    Weights may be bare or quoted numbers; text with any other weight is broken.
+    """
     repaired = reduce(lambda t, r: F.replace(t, F.lit(r[0]), F.lit(r[1])), repairs, text)
-    return F.from_json(repaired, "map<string,bigint>")
+    cells = F.from_json(repaired, "map<string,string>")
+    no_number = F.exists(F.map_values(cells), lambda v: v.isNotNull() & to_long(v).isNull())
+    return F.when(~no_number, F.transform_values(cells, lambda _, v: to_long(v)))
 
 
 def weighted_is_bad(text: Column, parsed: Column) -> Column:

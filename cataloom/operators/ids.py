@@ -18,15 +18,15 @@ def number_rows(
 ) -> tuple[DataFrame, list]:
     """Number rows 0…n-1 in ascending order, and summarise each range slice.
 
-    The rows are range-partitioned into ``spark.sql.shuffle.partitions`` ordered slices
-    and each slice is numbered by its own task, so no task sees the whole order. Slices
-    are written before they are counted: counts and numbers then come from the same
-    rows even if an executor is lost. The driver sees one summary row per slice.
+    The rows are range-partitioned into ordered slices (at most
+    ``spark.sql.shuffle.partitions``; small neighbours are merged at run time) and each
+    slice is numbered by its own task, so no task sees the whole order. Slices are written
+    before they are counted: counts and numbers then come from the same rows even if an
+    executor is lost. The driver sees one summary row per slice.
     ``order_cols`` must identify a row, else equal rows get their numbers in any order.
     """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     staged = materialize(
-        df.repartitionByRange(slices, *order_cols)
+        df.repartitionByRange(*order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn(_SLOT, F.monotonically_increasing_id()),
         "ordered",

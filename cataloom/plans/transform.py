@@ -68,15 +68,14 @@ def clean_facts(raw: DataFrame, order_col: str = "row_seq", tokens=NULL_TOKENS)
 
 def parse_lists(facts: DataFrame) -> DataFrame:
     """Text list columns as arrays and a map; ``_bad`` marks tags that cannot be parsed."""
-    tags = parse_weighted(F.col("tags"))
-    return facts.select(
-        *[c for c in facts.columns if c not in ("tags", "languages", "genre")],
-        split_trim(F.col("genre")).alias("genre"),
-        clean_labels(F.col("languages")).alias("languages"),
-        tags.alias("tags"),
-        F.col("tags").alias("tags_text"),
-        weighted_is_bad(F.col("tags"), tags).alias("_bad"),
+    parsed = facts.withColumnsRenamed({"tags": "tags_text"}).withColumns(
+        {
+            "genre": split_trim(F.col("genre")),
+            "languages": clean_labels(F.col("languages")),
+            "tags": parse_weighted(F.col("tags_text")),
+        }
     )
+    return parsed.withColumn("_bad", weighted_is_bad(F.col("tags_text"), F.col("tags")))
 
 
 def build_star(

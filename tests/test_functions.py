@@ -85,6 +85,7 @@ TAGS = {
     """{"a": 1, "b": 3, "a": 2}""": [("a", 2), ("b", 3)],
     """{'One': 1}""": [("One", 1)],
     "{}": [],
+    """{'a': '7', 'b': 2.0, 'c': null}""": [("a", 7), ("b", 2), ("c", None)],
 }
 
 
@@ -98,7 +99,8 @@ def test_weighted_entries(spark):
 @pytest.mark.parametrize(
     "text,bad",
     [(None, False), ("", False), ("[]", False), (" [] ", False), ("{}", False),
-     ("{'Score 50': 1}", True), ("bad", True), ("{'a': 1}", False)],
+     ("{'Score 50': 1}", True), ("bad", True), ("{'a': 1}", False),
+     ('{"a": "x"}', True), ('{"a": {"b": 1}}', True), ('{"a": 1', True), ("[1]", True)],
 )
 def test_weighted_outcome(spark, text, bad):
     found = values(spark, [text], lambda x: C.weighted_is_bad(x, C.parse_weighted(x)))
