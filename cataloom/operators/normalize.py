@@ -24,7 +24,7 @@ def normalize_list(
     """
     labels = F.filter(F.transform(F.col(list_col), strip), lambda x: x != "nan")
     dim, links = _split_off(
-        df, labels, lambda x: x, {}, id_col, dim_id, label, order_col
+        df, labels, labels, lambda x: x, {}, id_col, dim_id, label, order_col
     )
     return df.drop(list_col), dim, links
 
@@ -44,20 +44,22 @@ def normalize_map(
     """
     entries = last_value_per_key(F.map_entries(F.col(map_col)))
     dim, links = _split_off(
-        df, entries, lambda e: e["key"], {weight: lambda e: e["value"]},
-        id_col, dim_id, label, order_col,
+        df, entries, F.map_keys(F.col(map_col)), lambda e: e["key"],
+        {weight: lambda e: e["value"]}, id_col, dim_id, label, order_col,
     )
     return df.drop(map_col), dim, links
 
 
-def _split_off(df, entries: Column, name_of, extras, id_col, dim_id, label, order_col):
+def _split_off(
+    df, entries: Column, names: Column, name_of, extras, id_col, dim_id, label, order_col
+):
     # Each row gives a label once, with its first place, so that the smallest row and
     # the place in that row fix the order. Both are numbers: a hash aggregate with
     # partial results before the shuffle, whatever the share of the commonest label.
     first = (
         df.select(
             F.col(order_col).alias("_row"),
-            F.posexplode(F.array_distinct(F.transform(entries, name_of))).alias("_place", label),
+            F.posexplode(F.array_distinct(names)).alias("_place", label),
         )
         .groupBy(label)
         .agg(

@@ -19,8 +19,8 @@ from cataloom.functions import (
 from cataloom.operators.ids import keep_first
 from cataloom.operators.normalize import normalize_list, normalize_map
 from cataloom.schemas import CLEAN, RAW_DETAIL_COLUMNS
-from cataloom.sources.tables import write_tables
-from cataloom.storage import materialize, scratch_path
+from cataloom.sources.tables import read_staged, write_tables
+from cataloom.storage import materialize
 
 TIME_COLUMNS = ("average_forever", "average_2weeks", "median_forever", "median_2weeks")
 APP_COLUMNS = tuple(CLEAN["apps"].names)
@@ -84,8 +84,8 @@ def build_star(
     """The seven clean tables, and the facts rejected for broken tags.
 
     Raw text is cleaned and parsed once and written; each dimension and bridge then
-    reads only its own column of that table. With ``out`` the tables are also written
-    below it, one directory each.
+    reads only its own column of that table. With ``out`` the tables are written below it,
+    one directory each, and Parquet ones are returned as read from there.
     """
     spark = raw.sparkSession
     parsed = materialize(parse_lists(clean_facts(raw, order_col)), "parsed")
@@ -115,11 +115,6 @@ def build_star(
     }
     if out:
         write_tables(tables, out, fmt)
+        if fmt == "parquet":
+            tables = {name: read_staged(spark, out, name) for name in tables}
     return tables, rejected
-
-
-def stage_star(raw: DataFrame, order_col: str = "row_seq") -> tuple[str, DataFrame]:
-    """Build the clean tables into a new shared folder: (folder, rejected facts)."""
-    out = scratch_path(raw.sparkSession, "clean")
-    _, rejected = build_star(raw, out, order_col)
-    return out, rejected

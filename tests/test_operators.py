@@ -394,3 +394,57 @@ def test_quality_report(spark):
         ("foreign_key", "apps_genres", "id_genre"): 2,
     }
     assert len(found) == 7 + 4 + 6
+
+
+# ---- skew ----------------------------------------------------------------------------
+
+
+@pytest.fixture
+def small_thresholds(spark):
+    """Limits of adaptive execution at the size of test data; no broadcast."""
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "30000",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+def test_hot_application_is_split(spark, small_thresholds):
+    """A third of all links belongs to one fact; the join does not leave it to one task."""
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+    links = spark.range(0, 300_000, 1, 8).select(
+        hot.alias("id_app"), (F.xxhash64("id") % 1000).alias("id_x")
+    )
+    fact = spark.range(5000).select(F.col("id").alias("id_app"), F.lit(1.0).alias("price_usd"))
+    dim = spark.range(-1000, 1000).select(
+        F.col("id").alias("id_x"), F.concat(F.lit("x"), F.col("id") % 3).alias("x")
+    )
+    ranked = rank_by_dimension(
+        fact, links, dim, fact_id="id_app", dim_id="id_x", label="x", criterion="apps_count"
+    )
+    assert sum(r["apps_count"] for r in ranked.collect()) == 300_000
+    assert "skew=true" in plan_of(ranked)
+
+
+def test_hot_label_is_not_shuffled_by_label(spark, small_thresholds, monkeypatch):
+    monkeypatch.setattr(normalize, "BROADCAST_BYTES", 0)
+    words = F.array(F.lit("hot"), F.concat(F.lit("w"), F.col("id") % 3000))
+    df = spark.range(30_000).select("id", words.alias("l"))
+    _, dim, bridge = normalize.normalize_list(df, "id", "l", "id_x", "x", "id")
+    assert bridge.count() == 60_000 and dim.count() == 3001
+    plan = plan_of(bridge)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    hot = dim.where(F.col("x") == "hot").first()["id_x"]
+    assert bridge.where(F.col("id_x") == hot).count() == 30_000
