@@ -1,5 +1,6 @@
 """Weighted labels kept as a dict literal or JSON object in one text cell."""
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -9,15 +10,23 @@ from cataloom.constants import WEIGHTED_REPAIRS
 from cataloom.functions.numbers import to_long
 
 
+def with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse_weighted(text: Column, repairs=WEIGHTED_REPAIRS) -> Column:
     """Map from label to weight; null for none (null, empty, ``[]``) and for broken text.
 
     Weights may be bare or quoted numbers; text with any other weight is broken.
     """
+
+    def numbers(cells: Column) -> Column:
+        no_number = F.exists(F.map_values(cells), lambda v: v.isNotNull() & to_long(v).isNull())
+        return F.when(~no_number, F.transform_values(cells, lambda _, v: to_long(v)))
+
     repaired = reduce(lambda t, r: F.replace(t, F.lit(r[0]), F.lit(r[1])), repairs, text)
-    cells = F.from_json(repaired, "map<string,string>")
-    no_number = F.exists(F.map_values(cells), lambda v: v.isNotNull() & to_long(v).isNull())
-    return F.when(~no_number, F.transform_values(cells, lambda _, v: to_long(v)))
+    return with_value(F.from_json(repaired, "map<string,string>"), numbers)
 
 
 def weighted_is_bad(text: Column, parsed: Column) -> Column:
@@ -28,11 +37,20 @@ def weighted_is_bad(text: Column, parsed: Column) -> Column:
 
 def last_value_per_key(entries: Column) -> Column:
     """Entries (key, value) with each key once: first position kept, last value wins."""
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
 
-    def winner(key: Column) -> Column:
-        same = F.filter(entries, lambda e: e["key"] == key)
-        return F.struct(key.alias("key"), F.element_at(same, -1)["value"].alias("value"))
+    def merged(all_entries: Column) -> Column:
+        keys = F.array_distinct(F.transform(all_entries, lambda e: e["key"]))
+
+        def winner(key: Column) -> Column:
+            same = F.filter(all_entries, lambda e: e["key"] == key)
+            return F.struct(key.alias("key"), F.element_at(same, -1)["value"].alias("value"))
+
+        # The search per key runs only for the rare cell that repeats a key.
+        return with_value(
+            keys,
+            lambda k: F.when(F.size(k) == F.size(all_entries), all_entries).otherwise(
+                F.transform(k, winner)
+            ),
+        )
 
-    # The search per key runs only for the rare cell that repeats a key.
-    return F.when(F.size(keys) == F.size(entries), entries).otherwise(F.transform(keys, winner))
+    return with_value(entries, merged)

@@ -28,13 +28,17 @@ def run(
     database: str = "default",
     start: int = 0,
     batch_size: int = BATCH_SIZE,
+    one_document: bool = True,
+    buckets: int = 0,
 ) -> Outcome:
     """Extract to ``base/raw``, transform to ``base/clean``, refresh tables in ``base/tables``.
 
     A failing stage raises, and the stages after it do not run.
     """
-    raw = extract(spark, list_path, details_path, f"{base}/raw", start, batch_size)
+    raw = extract(spark, list_path, details_path, f"{base}/raw", start, batch_size, one_document)
     _, rejected_facts = build_star(raw["app_details"], f"{base}/clean")
-    rejected_rows = load_tables(spark, f"{base}/clean", f"{base}/tables", database=database)
+    rejected_rows = load_tables(
+        spark, f"{base}/clean", f"{base}/tables", database=database, buckets=buckets
+    )
     loaded = {name: spark.table(f"`{database}`.`{name}`") for name in CLEAN}
     return Outcome(raw, rejected_facts, rejected_rows, quality.report(loaded))

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from cataloom.operators import explore
 from cataloom.operators.ids import dense_ids
 from cataloom.plans.extract import extract
-from cataloom.schemas import CORRUPT, RAW_LIST, RAW_LIST_COLUMNS
+from cataloom.plans.run import run
+from cataloom.schemas import CLEAN, CORRUPT, RAW_LIST, RAW_LIST_COLUMNS
 from cataloom.showcase import query, roles, table
 from cataloom.showcase.cleaning import raw_details
 from cataloom.showcase.roles import APPS, LANGUAGES
@@ -288,3 +289,43 @@ def raw_csv_file_order(spark, d):
     path = tables.write_table(raw.drop("row_seq"), scratch_path(spark, "raw"), "csv")
     back = read_raw_csv(spark, path).select("row_seq", "appid", "name")
     return dense_ids(back, ["row_seq"], "position").drop("row_seq")
+
+
+_KEPT = """kept AS (SELECT * FROM part WHERE p_name <> 'old ring' AND p_brand <> 'Brand#7'
+    AND p_size NOT IN (8, 50))"""
+
+
+@query(f"""WITH {_KEPT}
+    SELECT 'apps' AS table_name, count(*) AS num_rows FROM kept
+    UNION ALL SELECT 'apps_genres', 3 * count(*) FROM kept
+    UNION ALL SELECT 'apps_languages', 4 * count(*) FROM kept
+    UNION ALL SELECT 'apps_tags', 3 * count(*) FROM kept WHERE p_size <> 7
+    UNION ALL SELECT 'genres', 1 + count(DISTINCT w) FROM
+        (SELECT unnest(string_split(p_name, ' ')) AS w FROM kept)
+    UNION ALL SELECT 'languages', 2 + count(DISTINCT p_type) + count(DISTINCT p_brand) FROM kept
+    UNION ALL SELECT 'tags', 1 + count(DISTINCT w) FROM
+        (SELECT unnest(string_split(p_name, ' ')) AS w FROM kept WHERE p_size <> 7)
+    UNION ALL SELECT 'app_list', 2 * count(*) FROM part
+    UNION ALL SELECT 'failed_ids', count(*) FROM part
+    UNION ALL SELECT 'rejected_facts', count(*) FROM part
+        WHERE p_name <> 'old ring' AND p_brand <> 'Brand#7' AND p_size = 8
+    UNION ALL SELECT 'violations', 0""")
+def end_to_end(spark, d):
+    """Landed list and details, through cleaning and normalising, to loaded tables."""
+    details = raw_details(spark, d).withColumn("appid", F.col("row_seq").cast("string"))
+    landed = _json_lines(details.drop("row_seq"), scratch_path(spark, "details"))
+    database = _new_database(spark)
+    outcome = run(
+        spark, _land_list(spark, d), landed, scratch_path(spark, "base"), database,
+        one_document=False,
+    )
+    loaded = {name: spark.table(f"{database}.{name}") for name in CLEAN}
+    return _counts(
+        {
+            **loaded,
+            "app_list": outcome.raw["app_list"],
+            "failed_ids": outcome.raw["failed_ids"],
+            "rejected_facts": outcome.rejected_facts,
+            "violations": outcome.quality.where("violations > 0"),
+        }
+    )

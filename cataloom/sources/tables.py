@@ -36,6 +36,16 @@ def write_tables(tables: dict[str, DataFrame], base: str, fmt: str = "parquet")
     return {name: write_table(df, f"{base}/{name}", fmt) for name, df in tables.items()}
 
 
+def published_path(base: str, path: str) -> str:
+    """Where a table goes below ``base``: under its stage and its name (``clean/apps``)."""
+    return "/".join([base.rstrip("/"), *path.rstrip("/").split("/")[-2:]])
+
+
+def publish(df: DataFrame, path: str, base: str, fmt: str = "parquet") -> str:
+    """Write a table of stage path ``…/raw/x`` or ``…/clean/x`` to a shared store."""
+    return write_table(df, published_path(base, path), fmt)
+
+
 def reset_batches(
     spark: SparkSession, path: str, fields: Sequence[str], fmt: str = "parquet"
 ) -> None:

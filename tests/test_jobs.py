@@ -306,3 +306,10 @@ def test_table_freshness(spark, landed, tmp_path):
     assert found["message"].startswith("Last database update: 0d 0h 0m ")
     loaded = found["last_update"].astimezone(timezone.utc)
     assert before - timedelta(seconds=2) <= loaded <= now
+
+
+def test_publish_keeps_stage_and_name(spark, tmp_path, rows):
+    df = spark.createDataFrame([(1, "a")], "id_genre bigint, genre string")
+    path = tables.publish(df, "/data/here/clean/genres", str(tmp_path))
+    assert path == f"{tmp_path}/clean/genres"
+    assert rows(tables.read_staged(spark, f"{tmp_path}/clean", "genres")) == [(1, "a")]
