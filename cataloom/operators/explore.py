@@ -6,7 +6,7 @@ from datetime import datetime
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,7 +87,7 @@ class In:
     column: str
     values: Sequence[Any]
 
-    def predicate(self):
+    def predicate(self) -> Column:
         col = F.col(f"`{self.column}`")
         hit = col.isin([v for v in self.values if v is not None])
         return hit | col.isNull() if None in self.values else hit
@@ -101,7 +101,7 @@ class Between:
     low: Any
     high: Any
 
-    def predicate(self):
+    def predicate(self) -> Column:
         if self.low is None or self.high is None:
             return F.lit(True)
         return F.col(f"`{self.column}`").between(F.lit(self.low), F.lit(self.high))
@@ -109,12 +109,15 @@ class Between:
 
 @dataclass(frozen=True)
 class Matches:
-    """Keep rows where the pattern is found, case-sensitive; null and no pattern as given."""
+    """Keep rows in which the pattern (Java syntax) is found, case-sensitive.
+
+    Null does not match; an empty pattern keeps every row.
+    """
 
     column: str
     pattern: str
 
-    def predicate(self):
+    def predicate(self) -> Column:
         if not self.pattern:
             return F.lit(True)
         return F.col(f"`{self.column}`").rlike(self.pattern)
@@ -154,7 +157,7 @@ def display_names(df: DataFrame, labels: dict = DISPLAY_LABELS) -> DataFrame:
 
 def freshness(
     df: DataFrame,
-    now: datetime,
+    now: datetime | Column,
     loaded_at: str = "_loaded_at",
     zone: str | None = None,
     latest: bool = False,

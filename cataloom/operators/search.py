@@ -15,9 +15,6 @@ SEARCH_COLUMNS = (
     "name", "developer", "publisher", "peak_ccu_yesterday", "average_2weeks_hs",
     "owners_max", "price_usd", "discount",
 )
-SEARCH_MEASURES = (
-    "peak_ccu_yesterday", "average_2weeks_hs", "owners_max", "price_usd", "discount",
-)
 _BITS = 62
 
 
@@ -54,10 +51,10 @@ def facet_matches(facet: Facet, fact_id: str) -> DataFrame:
     # where a distinct count would shuffle twice.
     words = []
     for start in range(0, len(values), _BITS):
-        bits = F.lit(0).cast("bigint")
+        bits = F
         for i, value in enumerate(values[start : start + _BITS]):
-            bits = F.when(name == F.lit(value), F.lit(1 << i).cast("bigint")).otherwise(bits)
-        words.append(bits.alias(f"_w{len(words)}"))
+            bits = bits.when(name == F.lit(value), F.lit(1 << i).cast("bigint"))
+        words.append(bits.otherwise(F.lit(0).cast("bigint")).alias(f"_w{len(words)}"))
     marks = [f"_w{i}" for i in range(len(words))]
     found = (
         links.join(broadcast_if_small(dim.select(facet.dim_id, *words)), facet.dim_id)
@@ -78,6 +75,8 @@ def search(
     columns: Sequence[str] = SEARCH_COLUMNS,
 ) -> DataFrame:
     """Top facts by a measure among those matching all facets; equal result rows merge."""
+    if order_by not in columns:
+        raise ValueError(f"{order_by!r} is not among the result columns")
     hits = fact
     for facet in facets:
         if facet.values:

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
+from cataloom import storage
 from cataloom.operators import explore
 from cataloom.plans.extract import extract
 from cataloom.plans.run import run
@@ -95,7 +96,7 @@ def test_build_star(spark, raw_csv, tmp_path, rows):
 
 def test_several_csv_files_keep_their_order(spark, tmp_path):
     for number in range(3):
-        with open(tmp_path / f"part{number}.csv", "w", newline="", encoding="utf-8") as out:
+        with open(tmp_path / f"part {number} é%20.csv", "w", newline="", encoding="utf-8") as out:
             writer = csv.DictWriter(out, RAW_DETAIL_COLUMNS)
             writer.writeheader()
             # The last file is the longest, and is read first.
@@ -313,3 +314,27 @@ def test_publish_keeps_stage_and_name(spark, tmp_path, rows):
     path = tables.publish(df, "/data/here/clean/genres", str(tmp_path))
     assert path == f"{tmp_path}/clean/genres"
     assert rows(tables.read_staged(spark, f"{tmp_path}/clean", "genres")) == [(1, "a")]
+
+
+def test_shared_folder_is_the_session_setting(spark):
+    assert storage.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert storage.scratch_path(spark, "x") != storage.scratch_path(spark, "x")
+
+
+class FakeSession:
+    """A session without the setting, local or on a cluster."""
+
+    class conf:  # noqa: N801
+        @staticmethod
+        def get(key, default):
+            return default
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": master})
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    local = storage.shared_dir(FakeSession("local[2]"))
+    assert storage.shared_dir(FakeSession("local[2]")) == local
+    with pytest.raises(RuntimeError):
+        storage.shared_dir(FakeSession("yarn"))
