@@ -5,12 +5,15 @@ from pyspark.sql import functions as F
 
 from cataloom.functions import last_value_per_key, strip
 from cataloom.operators.ids import number_rows
+from cataloom.storage import materialize
 
 # A dimension up to this many bytes of labels and ids is broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Beyond that, labels in more than 1/HOT_SHARE of all links take their own path. Each
-# link has one label, so there are fewer than HOT_SHARE such labels.
-HOT_SHARE = 256
+# Beyond that, this many most frequent labels take their own path (labels of at most
+# HOT_BYTES, so that what is broadcast stays below 16 MB). The next one then has less
+# than 1/HOT_LABELS of all links.
+HOT_LABELS = 256
+HOT_BYTES = 64 * 1024
 
 
 def normalize_list(
@@ -65,48 +68,42 @@ def _split_off(
         .agg(
             F.min("_row").alias("_row"),
             F.min_by("_place", "_row").alias("_place"),
-            F.count("*").alias("_links"),
         )
     )
     numbered, summary = number_rows(
-        first,
-        ["_row", "_place"],
-        dim_id,
-        label_bytes=F.sum(F.octet_length(label)),
-        links=F.sum("_links"),
+        first, ["_row", "_place"], dim_id, label_bytes=F.sum(F.octet_length(label))
     )
+    dim = numbered.select(dim_id, label)
     links = df.select(id_col, F.explode(entries).alias("_entry")).select(
         id_col,
         name_of(F.col("_entry")).alias(label),
         *[get(F.col("_entry")).alias(name) for name, get in extras.items()],
     )
     size = sum(row["label_bytes"] + 16 * row["rows"] for row in summary)
-    total = sum(row["links"] for row in summary)
-    bridge = look_up(links, numbered, label, dim_id, size, total)
-    return numbered.select(dim_id, label), bridge.select(id_col, dim_id, *extras)
+    bridge = look_up(links, dim, label, dim_id, size)
+    return dim, bridge.select(id_col, dim_id, *extras)
 
 
 def look_up(
-    links: DataFrame,
-    dim: DataFrame,
-    label: str,
-    dim_id: str,
-    dim_bytes: int,
-    total_links: int,
-    limit: int | None = None,
+    links: DataFrame, dim: DataFrame, label: str, dim_id: str, dim_bytes: int
 ) -> DataFrame:
     """Replace labels by ids.
 
     A dimension of checked small size is broadcast. A larger one is joined by shuffle,
-    except its hottest labels: those are few by construction and are broadcast, so no
-    shuffled key holds more than 1/HOT_SHARE of the links.
+    except for its most frequent labels: these are counted (with partial counts before
+    the shuffle), broadcast, and joined where the links are, so no shuffled label holds
+    a large share of the links.
     """
-    limit = BROADCAST_BYTES if limit is None else limit
-    keys = dim.select(label, dim_id, "_links")
-    if dim_bytes <= limit:
-        return links.join(F.broadcast(keys.drop("_links")), label, "left")
-    is_hot = F.col("_links") * HOT_SHARE > F.lit(total_links)
-    hot = F.broadcast(keys.where(is_hot).drop("_links"))
-    cold = keys.where(~is_hot).drop("_links")
+    if dim_bytes <= BROADCAST_BYTES:
+        return links.join(F.broadcast(dim), label, "left")
+    frequent = (
+        links.groupBy(label)
+        .agg(F.count("*").alias("_links"))
+        .where(F.octet_length(label) <= HOT_BYTES)
+        .orderBy(F.col("_links").desc(), label)
+        .limit(HOT_LABELS)
+        .select(label)
+    )
+    hot = F.broadcast(materialize(dim.join(F.broadcast(frequent), label), "hot_labels"))
     rest = links.join(hot.select(label), label, "left_anti")
-    return links.join(hot, label).unionByName(rest.join(cold, label, "left"))
+    return links.join(hot, label).unionByName(rest.join(dim, label, "left"))

@@ -261,7 +261,7 @@ _EVENTS = T.StructType(
 
 
 @query("""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
-        event_type, props FROM events""")
+        event_type, props FROM events""", name="ingest_stream")
 def ingest_events(spark, d):
     """Two landings of files, taken up by three runs; the last finds nothing new."""
     events = table(spark, d, "events").select("event_id", "user_id", "event_type", "props")

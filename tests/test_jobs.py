@@ -8,6 +8,8 @@ import pytest
 
 from cataloom import storage
 from cataloom.operators import explore
+from cataloom.operators.ranking import rank_by_dimension
+from cataloom.operators.search import Facet, search
 from cataloom.plans.extract import extract
 from cataloom.plans.run import run
 from cataloom.plans.transform import build_star, clean_facts
@@ -284,16 +286,30 @@ def test_bucketed_tables_join_without_a_shuffle(spark, landed, tmp_path, rows):
             assert rows(spark.table(f"bucketed.{name}")) == rows(spark.table(f"plain.{name}"))
     assert explore.table_names(spark, "bucketed") == sorted(CLEAN)
 
-    def exchanges(database):
-        joined = spark.table(f"{database}.apps").join(
-            spark.table(f"{database}.apps_genres"), "id_app"
+    def exchanges(make):
+        plans = {}
+        for database in ("plain", "bucketed"):
+            frames = (spark.table(f"{database}.{n}") for n in ("apps", "apps_genres", "genres"))
+            plan = make(*frames)._jdf.queryExecution().executedPlan().toString()
+            plans[database] = plan.count("Exchange hashpartitioning")
+        return plans["plain"], plans["bucketed"]
+
+    def ranked(apps, links, genres):
+        return rank_by_dimension(
+            apps, links, genres, fact_id="id_app", dim_id="id_genre", label="genre",
+            criterion="owners_max",
         )
-        return joined._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+    def searched(apps, links, genres):
+        facet = Facet(links, genres, "id_genre", "genre", ["Action", "A"])
+        return search(apps, [facet], fact_id="id_app", order_by="owners_max")
 
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert exchanges("plain") == 2 and exchanges("bucketed") == 0
+        assert exchanges(lambda apps, links, _: apps.join(links, "id_app")) == (2, 0)
+        assert exchanges(ranked) == (5, 3)
+        assert exchanges(searched) == (3, 1)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 

@@ -92,8 +92,8 @@ def test_normalize_list(spark, rows, partitions):
 def test_large_dimension_gives_the_same_links(spark, rows, monkeypatch):
     expected = rows(normalized(spark)[2])
     monkeypatch.setattr(normalize, "BROADCAST_BYTES", 0)
-    for share in (1, 3, 256):  # no label hot, some hot, all hot
-        monkeypatch.setattr(normalize, "HOT_SHARE", share)
+    for hot in (0, 1, 256):  # no label, some and all on the path of hot ones
+        monkeypatch.setattr(normalize, "HOT_LABELS", hot)
         assert rows(normalized(spark)[2]) == expected
 
 
