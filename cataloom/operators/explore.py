@@ -46,11 +46,18 @@ def _kind(data_type: T.DataType) -> str:
 def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """One row per column: filter kind, distinct values (nulls not counted), bounds, step.
 
-    ``exact=False`` estimates the distinct counts, which saves the exact count's copy of
-    the rows per column.
+    Exact counts are taken column by column: each reads one column of the stored table and
+    shuffles its distinct values only, where one aggregate would copy every row per column.
+    ``exact=False`` estimates the counts, all columns in one pass without a shuffle of values.
     """
     columns = list(columns or df.columns)
-    count = F.count_distinct if exact else F.approx_count_distinct
+    if not exact:
+        return _profile(df, columns, F.approx_count_distinct)
+    parts = [_profile(df.select(f"`{c}`").distinct(), [c], F.count) for c in columns]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _profile(df: DataFrame, columns: Sequence[str], count) -> DataFrame:
     aggregates, rows = [], []
     for i, name in enumerate(columns):
         col = F.col(f"`{name}`")
