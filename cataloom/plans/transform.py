@@ -79,7 +79,11 @@ def parse_lists(facts: DataFrame) -> DataFrame:
 
 
 def build_star(
-    raw: DataFrame, out: str | None = None, order_col: str = "row_seq", fmt: str = "parquet"
+    raw: DataFrame,
+    out: str | None = None,
+    order_col: str = "row_seq",
+    fmt: str = "parquet",
+    tokens=NULL_TOKENS,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """The seven clean tables, and the facts rejected for broken tags.
 
@@ -88,7 +92,7 @@ def build_star(
     one directory each, and Parquet ones are returned as read from there.
     """
     spark = raw.sparkSession
-    parsed = materialize(parse_lists(clean_facts(raw, order_col)), "parsed")
+    parsed = materialize(parse_lists(clean_facts(raw, order_col, tokens)), "parsed")
     facts = parsed.where(~F.col("_bad"))
     rejected = parsed.where("_bad").select(*APP_COLUMNS, "tags_text")
 
@@ -100,15 +104,16 @@ def build_star(
     )
     facts, tags, apps_tags = normalize_map(facts, "id_app", "tags", "id_tag", "tag", order_col)
     languages = languages.withColumn("normalized_language", canonical_label(F.col("language")))
-    # An empty label keeps its id but has no name.
-    blank = F.lit("")
+
+    def named(dim: DataFrame, *labels: str) -> DataFrame:
+        # A label that is a null token, such as an empty one, keeps its id but has no name.
+        return dim.withColumns({c: null_tokens(F.col(c), tokens) for c in labels})
+
     tables = {
         "apps": facts.select(*APP_COLUMNS),
-        "genres": genres.withColumn("genre", F.nullif("genre", blank)),
-        "languages": languages.withColumns(
-            {c: F.nullif(c, blank) for c in ("language", "normalized_language")}
-        ),
-        "tags": tags.withColumn("tag", F.nullif("tag", blank)),
+        "genres": named(genres, "genre"),
+        "languages": named(languages, "language", "normalized_language"),
+        "tags": named(tags, "tag"),
         "apps_genres": apps_genres,
         "apps_languages": apps_languages,
         "apps_tags": apps_tags,

@@ -75,7 +75,9 @@ def read_details(spark: SparkSession, path: str) -> DataFrame:
 
 def mark_rejected(details: DataFrame, appid: str = "appid") -> DataFrame:
     """With ``rejected``: not parsed, or not naming one application by its number."""
-    usable = F.col(CORRUPT).isNull() & F.col(appid).try_cast("bigint").isNotNull()
+    usable = F.col(appid).try_cast("bigint").isNotNull()
+    if CORRUPT in details.columns:
+        usable = usable & F.col(CORRUPT).isNull()
     return details.withColumn("rejected", ~usable)
 
 

@@ -96,6 +96,25 @@ def test_build_star(spark, raw_csv, tmp_path, rows):
         assert rows(tables.read_staged(spark, out, name)) == rows(star[name])
 
 
+def test_records_without_an_id_are_set_aside(spark, raw_csv, rows):
+    raw = read_raw_csv(spark, raw_csv)
+    good, rejected = landing.split_details(landing.mark_rejected(raw))
+    assert [r["appid"] for r in rejected.collect()] == ["['999']"]
+    assert good.count() == len(RECORDS) - 1
+    asked = spark.createDataFrame([(1,), (999,)], "appid bigint")
+    assert rows(landing.failed_ids(asked, good)) == [(999,)]
+
+
+def test_a_label_that_means_nothing_has_no_name(spark, rows):
+    data = [(0, *[{**record("1"), "genre": "NA,B", "tags": "{'null': 1}"}[c]
+                  for c in RAW_DETAIL_COLUMNS])]
+    schema = ", ".join(f"{c} string" for c in RAW_DETAIL_COLUMNS)
+    star, _ = build_star(spark.createDataFrame(data, f"row_seq bigint, {schema}"))
+    assert rows(star["genres"]) == [(0, None), (1, "B")]
+    assert rows(star["tags"]) == [(0, None)]
+    assert rows(star["apps_genres"]) == [(1, 0), (1, 1)]
+
+
 def test_several_csv_files_keep_their_order(spark, tmp_path):
     for number in range(3):
         with open(tmp_path / f"part {number} é%20.csv", "w", newline="", encoding="utf-8") as out:
