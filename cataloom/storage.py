@@ -1,5 +1,6 @@
 """The folder all executors share, and tables written there to cut lineage."""
 
+import re
 import tempfile
 import uuid
 
@@ -17,7 +18,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = context.applicationId
     if app not in _local_dirs:

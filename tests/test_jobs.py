@@ -371,5 +371,6 @@ class FakeSession:
 def test_no_machine_local_folder_on_a_cluster():
     local = storage.shared_dir(FakeSession("local[2]"))
     assert storage.shared_dir(FakeSession("local[2]")) == local
-    with pytest.raises(RuntimeError):
-        storage.shared_dir(FakeSession("yarn"))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            storage.shared_dir(FakeSession(master))
