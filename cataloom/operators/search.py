@@ -74,12 +74,19 @@ def search(
     n: int = SEARCH_ROWS,
     columns: Sequence[str] = SEARCH_COLUMNS,
 ) -> DataFrame:
-    """Top facts by a measure among those matching all facets; equal result rows merge."""
+    """Top facts by a measure among those matching all facets; equal result rows merge.
+
+    The n largest different values of the measure belong to at least n different rows, so
+    rows below the least of them cannot be in the result. Finding that value reads one
+    column and shuffles its distinct values; the whole rows are shuffled only above it.
+    """
     if order_by not in columns:
         raise ValueError(f"{order_by!r} is not among the result columns")
     hits = fact
     for facet in facets:
         if facet.values:
             hits = hits.join(facet_matches(facet, fact_id), fact_id, "left_semi")
-    rows = hits.select(*columns).distinct()
+    measure = F.col(order_by)
+    least = top_n(hits.select(order_by).distinct(), order_by, n).agg(F.min(order_by)).scalar()
+    rows = hits.select(*columns).where(measure.isNull() | (measure >= least)).distinct()
     return top_n(rows, order_by, n, *[c for c in columns if c != order_by])

@@ -329,7 +329,8 @@ def failed_ids(spark, d):
 
 
 @query("""SELECT l_partkey, count(*) AS num_rows FROM lineitem
-    WHERE NOT EXISTS (SELECT 1 FROM labels WHERE doc_id = l_partkey) GROUP BY l_partkey""")
+    WHERE l_partkey IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM labels WHERE doc_id = l_partkey) GROUP BY l_partkey""")
 def dq_fk_orphans(spark, d):
     return quality.orphans(
         table(spark, d, "lineitem"), "l_partkey", table(spark, d, "labels"), "doc_id"
@@ -344,7 +345,7 @@ def dq_pk_duplicates(spark, d):
 
 @query("""SELECT 'not_null' AS "check", 'part' AS "table", 'p_brand' AS "column",
         count(*) FILTER (WHERE p_brand = 'Brand#4') AS violations FROM part
-    UNION ALL SELECT 'not_null', 'part', 'p_name', 0
+    UNION ALL SELECT 'not_null', 'part', 'p_name', count(*) - count(p_name) FROM part
     UNION ALL SELECT 'primary_key', 'lineitem', 'l_orderkey,l_linenumber', count(*) FROM
         (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
     UNION ALL SELECT 'foreign_key', 'lineitem', 'l_orderkey', count(*) FROM lineitem

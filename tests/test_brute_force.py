@@ -242,3 +242,29 @@ def test_search(random_star, match_key, chosen):
     assert {tuple(r) for r in result} == hits and len(result) == len(hits)
     nulls = [r["discount"] is None for r in result]
     assert nulls == sorted(nulls, reverse=True)
+
+
+@pytest.mark.parametrize("order_by", ("discount", "peak_ccu_yesterday", "owners_max"))
+@pytest.mark.parametrize("n", (1, 2, 5, 40, 1000))
+def test_search_top_n(random_star, order_by, n):
+    apps, _, _, (fact, _, _) = random_star
+    place = SEARCH_COLUMNS.index(order_by)
+    ties = [i for i in range(len(SEARCH_COLUMNS)) if i != place]
+
+    def rank(row):
+        measure = row[place]
+        rest = [(row[i] is None, row[i] if row[i] is not None else 0) for i in ties]
+        return (measure is not None, -(measure or 0), rest)
+
+    expected = sorted({a[1:] for a in apps}, key=rank)[:n]
+    found = search(fact, fact_id="id_app", order_by=order_by, n=n).collect()
+    assert [tuple(r) for r in found] == expected
+
+
+def test_search_top_n_of_spread_values(spark):
+    """A measure with many values: only rows at the top are compared as a whole."""
+    data = [(i, "a", float(i // 2 * 37 % 1000)) for i in range(2000)] + [(-1, "a", None)]
+    fact = spark.createDataFrame(data, "id bigint, name string, v double")
+    found = search(fact, fact_id="id", order_by="v", n=10, columns=["name", "v"]).collect()
+    values = sorted({d[2] for d in data if d[2] is not None}, reverse=True)
+    assert [r["v"] for r in found] == [None, *values[:9]]

@@ -310,7 +310,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, landed, tmp_path, rows):
         for database in ("plain", "bucketed"):
             frames = (spark.table(f"{database}.{n}") for n in ("apps", "apps_genres", "genres"))
             plan = make(*frames)._jdf.queryExecution().executedPlan().toString()
-            plans[database] = plan.count("Exchange hashpartitioning")
+            plans[database] = plan.count("Exchange hashpartitioning(id_app#")
         return plans["plain"], plans["bucketed"]
 
     def ranked(apps, links, genres):
@@ -327,8 +327,9 @@ def test_bucketed_tables_join_without_a_shuffle(spark, landed, tmp_path, rows):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert exchanges(lambda apps, links, _: apps.join(links, "id_app")) == (2, 0)
-        assert exchanges(ranked) == (5, 3)
-        assert exchanges(searched) == (3, 1)
+        assert exchanges(ranked) == (2, 0)
+        plain, bucketed = exchanges(searched)
+        assert plain >= 2 and bucketed == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
