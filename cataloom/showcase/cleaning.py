@@ -76,24 +76,26 @@ _PHRASES = f"""phrases AS (SELECT doc_id, unnest(l) AS phrase, generate_subscrip
 
 
 def _phrases(spark, d):
-    documents = table(spark, d, "documents").select(
+    return table(spark, d, "documents").select(
         "doc_id", labels_of(F.col("text")).alias("phrases")
     )
-    documents = materialize(documents, "phrases")
-    return normalize_list(documents, "doc_id", "phrases", "id_phrase", "phrase", "doc_id")
+
+
+_PHRASE_KEYS = ("doc_id", "phrases", "id_phrase", "phrase", "doc_id")
 
 
 @query(f"""WITH {_PHRASES}
     SELECT id_phrase, phrase FROM dim""")
 def normalize_text_dim(spark, d):
     """A dimension that grows with the data: every comma phrase of the whole texts."""
-    return _phrases(spark, d)[1]
+    return normalize_list(_phrases(spark, d), *_PHRASE_KEYS)[1]
 
 
 @query(f"""WITH {_PHRASES}
     SELECT doc_id, id_phrase FROM phrases JOIN dim USING (phrase)""")
 def normalize_text_bridge(spark, d):
-    return _phrases(spark, d)[2]
+    """The bridge reads the lists a second time, so they are stored, not parsed twice."""
+    return normalize_list(materialize(_phrases(spark, d), "phrases"), *_PHRASE_KEYS)[2]
 
 
 _PROPS = """props AS (SELECT event_id, k.key AS prop,
