@@ -481,10 +481,10 @@ def _star_part(labels_sql, dim_id, label, name):
 
 _WORD = "string_split(name, ' ')"
 _LANGUAGES_SQL = "['English', 'Spanish - ' || publisher, developer || ' x', 'Heew']"
-_STAR = f"""{_FACTS}, kept AS (SELECT * FROM facts WHERE p_size <> 8),
+_STAR = f"""{_FACTS}, kept AS (SELECT * FROM facts WHERE p_size IS DISTINCT FROM 8),
     {_star_part(f"[{_WORD}[1], {_WORD}[2], '']", "id_genre", "genre", "genres")},
     {_star_part(_LANGUAGES_SQL, "id_language", "language", "languages")},
-    {_star_part(f"CASE WHEN p_size = 7 THEN [] ELSE [{_WORD}[1], {_WORD}[2], 'Shoot  Em Up'] END",
+    {_star_part(f"CASE WHEN p_size <> 7 THEN [{_WORD}[1], {_WORD}[2], 'Shoot  Em Up'] ELSE [] END",
                 "id_tag", "tag", "tags")}"""
 
 

@@ -64,7 +64,7 @@ def _land_details(spark, d) -> str:
 
 
 @query("""SELECT p_partkey AS appid, p_name AS name, CAST(p_size AS VARCHAR) AS ccu,
-        '{"' || p_brand || '":' || p_size || '}' AS tags
+        '{"' || p_brand || '":' || coalesce(p_size || '', 'null') || '}' AS tags
     FROM part WHERE p_type NOT IN ('PROMO', 'SMALL')""")
 def scan_details_json(spark, d):
     marked = landing.mark_rejected(landing.read_details(spark, _land_details(spark, d)))
@@ -171,7 +171,7 @@ def _new_database(spark) -> str:
     SELECT normalized_language, name, count(*) AS num_links,
         CAST(sum(owners_max) AS BIGINT) AS owners
     FROM apps JOIN apps_languages USING (id_app) JOIN languages USING (id_language)
-    GROUP BY ALL""")
+    WHERE name IS NOT NULL GROUP BY ALL""")
 def full_refresh_roundtrip(spark, d):
     """Stage, create, load twice; the tables hold one copy."""
     database, root = _new_database(spark), scratch_path(spark, "tables")
@@ -292,7 +292,7 @@ def raw_csv_file_order(spark, d):
 
 
 _KEPT = """kept AS (SELECT * FROM part WHERE p_name <> 'old ring' AND p_brand <> 'Brand#7'
-    AND p_size NOT IN (8, 50))"""
+    AND p_retailprice IS NOT NULL AND coalesce(p_size, 0) NOT IN (8, 50))"""
 
 
 @query(f"""WITH {_KEPT}
@@ -309,6 +309,7 @@ _KEPT = """kept AS (SELECT * FROM part WHERE p_name <> 'old ring' AND p_brand <>
     UNION ALL SELECT 'failed_ids', count(*) FROM part
     UNION ALL SELECT 'rejected_facts', count(*) FROM part
         WHERE p_name <> 'old ring' AND p_brand <> 'Brand#7' AND p_size = 8
+            AND p_retailprice IS NOT NULL
     UNION ALL SELECT 'violations', 0""")
 def end_to_end(spark, d):
     """Landed list and details, through cleaning and normalising, to loaded tables."""
