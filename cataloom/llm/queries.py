@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cataloom.llm import bpe, packing
+from cataloom.llm import bpe, langid, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +33,20 @@ def op4_bpe_tree(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(
         table(spark, d, "documents"), VOCABULARY, row=bpe.digest_row, columns=bpe.DIGEST
     )
+
+
+@query
+def op5_string_kernel_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    model = toxicity.fit(docs, table(spark, d, "labels"))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_centroid_language(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    found = langid.predict(docs, langid.fit(docs), keep=["doc_id"])
+    return found.select(
+        "doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected"
+    )
