@@ -4,15 +4,15 @@ The kernel of two strings adds up their common subsequences of three letters, ea
 by ``decay`` to the length it spans in either, so letters put in between weaken a match and do
 not break it. Landmarks are words and word beginnings tied to the label in the training
 texts; where a word begins and ends counts as a letter. A word's value for a landmark is the
-greatest normalised kernel of the landmark and any stretch of the word up to ``slack`` letters
-longer, or 0 below ``least``. A text has two values for each landmark: the greatest of its
+greatest normalised kernel of the landmark and any stretch of the word as long or ``slack``
+letters longer, or 0 below ``least``. A text has two values for each landmark: the greatest of its
 words, and their sum by the number of words. These, whitened by the landmarks' own kernel
 matrix (Nyström), go to a linear support vector machine; a logistic curve turns its margin
 into a score.
 
 Words are what white space separates, without characters that are not letters (``st*pid`` is
 ``stpid``); runs of single letters (``i d i o t``) also count as one word. A word is compared
-with a landmark if they share two subsequences of three letters within five, which any match
+with a landmark if they share four subsequences of three letters within five, which any match
 of note does.
 
 Fitting reads a bounded sample of labelled texts (``Settings.texts``). Texts are scored whole.
@@ -36,7 +36,9 @@ from cataloom.storage import materialize
 
 LETTERS = 3  # length of the subsequences compared
 WIDTH = 24  # longer words are taken in overlapping stretches
-BEGIN, END = b"^", b"$"
+BEGIN, END = b"^^", b"$"  # a begin counts twice: word beginnings are what a stem has
+SHARED = 4  # subsequences that a word and a landmark must share to be compared
+SLICE = 8192  # texts whose distinct words are compared at once
 PER_WORDS = 50  # a sum over words counts as if a text had this many
 _DROP = bytes(b for b in range(128) if not (97 <= b <= 122 or b in b" \t\n\r\f\v"))
 _SPACED = re.compile(r"(?:(?<![^\W\d_])[^\W\d_][\W\d_]{1,3}){3,}[^\W\d_](?![^\W\d_])")
@@ -58,9 +60,9 @@ class Settings:
     texts: int = 8000  # most labelled texts to learn from
     landmarks: int = 48  # at most 63
     evidence: float = 30.0  # least log-likelihood ratio of a landmark
-    decay: float = 0.5
+    decay: float = 0.75
     slack: int = 3
-    least: float = 0.5
+    least: float = 0.7
     penalty: float = 10.0
 
 
@@ -108,8 +110,9 @@ def kernel(left: np.ndarray, right: np.ndarray, decay: float) -> np.ndarray:
     n, rows, columns = len(left), left.shape[1], right.shape[1]
     same = [[(left[:, i] == right[:, j]) & (left[:, i] > 0) for j in range(columns)] for i in range(rows)]
     # before[i][j]: weight of common subsequences of the first i and j letters, decayed to there
-    before = [[np.ones(n)] * (columns + 1) for _ in range(rows + 1)]
-    zero = np.zeros(n)
+    decay = np.float32(decay)
+    before = [[np.ones(n, np.float32)] * (columns + 1) for _ in range(rows + 1)]
+    zero = np.zeros(n, np.float32)
     for _ in range(LETTERS - 1):
         now = [[zero] * (columns + 1) for _ in range(rows + 1)]
         for i in range(1, rows + 1):
@@ -154,16 +157,17 @@ class Matcher:
         parts = [(w, part) for w in strings if len(w) > 2 for part in stretches(w)]
         owner = [w for w, _ in parts]
         rows = coded([part for _, part in parts])
-        once = np.zeros(len(rows), np.uint64)
-        twice = np.zeros(len(rows), np.uint64)
+        shared = [np.zeros(len(rows), np.uint64) for _ in range(SHARED)]  # once, twice, ...
         for span in _SPANS:
             table = self.near if span == _SPANS[0] else self.solid
-            for column in table[self._codes(rows, span)].T:
-                twice |= once & column
-                once |= column
+            for codes in self._codes(rows, span).T:
+                now = table[codes]
+                for i in range(SHARED - 1, 0, -1):
+                    shared[i] |= shared[i - 1] & now
+                shared[0] |= now
         lengths = (rows > 0).sum(axis=1)
         for i, z in enumerate(self.rows):
-            at = np.flatnonzero(twice & np.uint64(1 << i))
+            at = np.flatnonzero(shared[-1] & np.uint64(1 << i))
             if not len(at):
                 continue
             best = self._best(rows[at], lengths[at], z, self.own[i])
@@ -172,17 +176,19 @@ class Matcher:
         return found
 
     def _best(self, rows, lengths, z, own) -> np.ndarray:
-        span = min(WIDTH, z.shape[1] + self.settings.slack)
         best = np.zeros(len(rows))
-        for start in range(WIDTH - span + 1):
-            on = np.flatnonzero((lengths >= start + LETTERS) & ((start == 0) | (lengths >= start + min(span, z.shape[1]))))
-            if not len(on):
-                break
-            part = rows[on, start : start + span]
-            both = kernel(part, z, self.settings.decay)
-            self_ = kernel(part, part, self.settings.decay)
-            value = both / np.sqrt(np.maximum(self_ * own, 1e-12))
-            best[on] = np.maximum(best[on], value)
+        size = z.shape[1]
+        for span in sorted({min(WIDTH, size), min(WIDTH, size + self.settings.slack)}):
+            for start in range(WIDTH - span + 1):
+                # Stretches beyond the word's end add nothing to the last whole one.
+                on = np.flatnonzero((lengths >= start + span) | (start == 0))
+                if not len(on):
+                    break
+                part = rows[on, start : start + span]
+                both = kernel(part, z, self.settings.decay)
+                itself = kernel(part, part, self.settings.decay)
+                value = both / np.sqrt(np.maximum(itself * own, 1e-12))
+                best[on] = np.maximum(best[on], value)
         return best
 
 
@@ -268,8 +274,8 @@ def choose_landmarks(
         for batch in batches:
             for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = words(text)
-                framed = [BEGIN + w + END for w in own if 4 <= len(w) < WIDTH - 2]
-                seen[label].update({w[:n] for w in framed for n in (5, 6, 7, 8)} | {*framed})
+                framed = [BEGIN + w + END for w in own if 4 <= len(w) <= WIDTH - 3]
+                seen[label].update({w[:n] for w in framed for n in range(6, 10)} | {*framed})
         strings = sorted(seen[1])
         yield pa.RecordBatch.from_arrays(
             [
@@ -371,8 +377,8 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.landmarks, model.settings) if model else None
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 if matcher:
                     texts = (t.as_py() for t in part.column(part.num_columns - 1))
                     found = model.scores(text_values(texts, matcher))
