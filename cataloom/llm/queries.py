@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cataloom.llm import bpe, langid, packing, toxicity
+from cataloom.llm import bpe, jaccard, langid, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,8 @@ def op6_centroid_language(spark: SparkSession, d: str) -> DataFrame:
     return found.select(
         "doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected"
     )
+
+
+@query
+def op9_combination_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.join(table(spark, d, "documents"))
