@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cataloom.llm import bpe, jaccard, langid, packing, toxicity
+from cataloom.llm import bpe, jaccard, langid, packing, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +56,28 @@ def op6_centroid_language(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op9_combination_jaccard(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.join(table(spark, d, "documents"))
+
+
+@query
+def op8_seekable_warc(spark: SparkSession, d: str) -> DataFrame:
+    back = warc.archive(table(spark, d, "pages"), payloads=False)
+    return back.select(
+        F.col("page").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+ORACLES["op8_seekable_warc"] = """
+    WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+    sized AS (
+        SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest,
+            max(page_id) OVER (PARTITION BY sha1(body)) AS kept
+        FROM bodies)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 1000 AND kept <> page_id THEN 'revisit' ELSE 'response' END
+            AS record_type,
+        CASE WHEN payload_bytes >= 1000 AND kept <> page_id THEN kept END AS refers_to
+    FROM sized"""
