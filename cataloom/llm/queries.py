@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cataloom.llm import bpe, jaccard, langid, packing, toxicity, warc
+from cataloom.llm import bpe, jaccard, langid, packing, toxicity, warc, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,8 @@ ORACLES["op8_seekable_warc"] = """
             AS record_type,
         CASE WHEN payload_bytes >= 1000 AND kept <> page_id THEN kept END AS refers_to
     FROM sized"""
+
+
+@query
+def op10_wrapper_induction(spark: SparkSession, d: str) -> DataFrame:
+    return wrapper.extract_text(table(spark, d, "pages"))
