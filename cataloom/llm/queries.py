@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cataloom.llm import bpe, jaccard, langid, packing, toxicity, warc, wrapper
+from cataloom.llm import bpe, jaccard, langid, licences, packing, toxicity, warc, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,8 @@ ORACLES["op8_seekable_warc"] = """
 @query
 def op10_wrapper_induction(spark: SparkSession, d: str) -> DataFrame:
     return wrapper.extract_text(table(spark, d, "pages"))
+
+
+@query
+def op7_fuzzy_notices(spark: SparkSession, d: str) -> DataFrame:
+    return licences.scan(table(spark, d, "documents")).drop("spans")
