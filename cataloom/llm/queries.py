@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cataloom.llm import bpe, jaccard, langid, licences, packing, toxicity, warc, wrapper
+from cataloom.llm import (
+    bpe,
+    jaccard,
+    langid,
+    licences,
+    near_vectors,
+    neighbours,
+    packing,
+    toxicity,
+    warc,
+    wrapper,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +102,32 @@ def op10_wrapper_induction(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op7_fuzzy_notices(spark: SparkSession, d: str) -> DataFrame:
     return licences.scan(table(spark, d, "documents")).drop("spans")
+
+
+@query
+def op2_cross_polytope(spark: SparkSession, d: str) -> DataFrame:
+    return near_vectors.linked(table(spark, d, "embeddings"))
+
+
+ORACLES["op2_cross_polytope"] = """
+    WITH RECURSIVE fine AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+    reached(origin, node) AS (
+        SELECT vec_id, vec_id FROM embeddings
+        UNION
+        SELECT r.origin, l.b FROM reached r JOIN links l ON l.a = r.node),
+    least AS (SELECT origin, min(node) AS component_id FROM reached GROUP BY origin),
+    counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+    FROM embeddings e JOIN least l ON l.origin = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id"""
+
+
+@query
+def op3_adaptive_scan(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings")
+    return neighbours.nearest(vectors, k=20, queries=vectors.where("vec_id % 20 = 0"))
