@@ -246,16 +246,18 @@ def predict(
     """
     added = T.StructType.fromDDL("lang_pred string, score double, rejected boolean")
     kept = [c for c in keep or docs.columns if c not in added.names]
-    text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b"").cast("binary"))
-    source = docs.select(*kept, text.alias("__text"))
-    result = T.StructType([*source.schema.fields[:-1], *added.fields])
+    # A kept text goes to the task once.
+    extra = [] if text_col in kept else [F.col(text_col).alias("__text")]
+    source = docs.select(*kept, *extra)
+    result = T.StructType([*source.schema.fields[: len(kept)], *added.fields])
+    text_at = len(kept) if extra else kept.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Vectors(model.codes, model.idf) if model else None
         for batch in batches:
             found = []
-            for value in batch.column(batch.num_columns - 1):
-                text = value.as_py()
+            for value in batch.column(text_at).cast(pa.binary()):
+                text = value.as_py() or b""
                 if not tool or not has_letter(text):
                     found.append((UNKNOWN, 0.0, True))
                     continue
@@ -268,7 +270,7 @@ def predict(
             langs, scores, rejected = zip(*found, strict=True) if found else ([], [], [])
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[:-1],
+                    *batch.columns[: len(kept)],
                     pa.array(langs, pa.string()),
                     pa.array(scores, pa.float64()),
                     pa.array(rejected, pa.bool_()),

@@ -371,8 +371,11 @@ def score(
     already have these names are replaced. Without a model every score is 0."""
     added = T.StructType.fromDDL("score double, predicted int")
     kept = [c for c in keep or docs.columns if c not in added.names]
-    source = docs.select(*kept, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    result = T.StructType([*source.schema.fields[:-1], *added.fields])
+    # A kept text goes to the task once.
+    extra = [] if text_col in kept else [F.col(text_col).alias("__text")]
+    source = docs.select(*kept, *extra)
+    result = T.StructType([*source.schema.fields[: len(kept)], *added.fields])
+    text_at = len(kept) if extra else kept.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.landmarks, model.settings) if model else None
@@ -380,13 +383,13 @@ def score(
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
                 if matcher:
-                    texts = (t.as_py() for t in part.column(part.num_columns - 1))
+                    texts = (t.as_py() or "" for t in part.column(text_at))
                     found = model.scores(text_values(texts, matcher))
                 else:
                     found = np.zeros(part.num_rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *part.columns[:-1],
+                        *part.columns[: len(kept)],
                         pa.array(found, pa.float64()),
                         pa.array((found >= 0.5).astype(np.int32), pa.int32()),
                     ],

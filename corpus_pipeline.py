@@ -1,9 +1,63 @@
-"""From raw documents to packed sequences, stage by stage."""
+"""From raw documents to packed training sequences, in stages.
 
-STAGES = []
+Each stage gets the documents that its predecessor kept, as written and read again, and learns
+from them where it learns. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from cataloom.llm import jaccard, langid, packing, toxicity
+from cataloom.operators.sizes import broadcast_if_small
+from cataloom.storage import materialize
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that language identification rejects: without letters, or far from all
+    languages learned."""
+    found = langid.predict(docs, langid.fit(docs))
+    return found.where("not rejected").select(*docs.columns)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents predicted as toxic by what the labelled ones among them teach."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.where("predicted = 0").select(*docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each group of near-duplicates the document with the smallest doc_id.
+
+    Rows that repeat a doc_id count as one document; those without one all stay.
+    """
+    groups = jaccard.join(docs.select("doc_id", "text"))
+    gone = materialize(groups.where("doc_id <> component_id").select("doc_id"), "repeats")
+    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the ids of all documents into sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs, VOCABULARY)
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("toxicity", not_toxic),
+    ("ngram_jaccard_join", one_of_each),
+    ("best_fit_packing", packed),
+]
+
+#: Learned models and tokenizers cannot be written in SQL; tests hold stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
