@@ -18,8 +18,12 @@ has no caps. How it gets from texts to links:
    n - k + 1. Very short sets index single shingles only. The number of classes follows the
    size of the set in bands; near the border of a band a set is indexed under both, since a
    linked set can be on the other side of it.
-5. Under each index key, all are compared with the key's first document, then documents that
-   are still in different components with each other. Links inside a component change nothing.
+5. Under each index key, all are compared with the key's document that has the fewest shingles
+   of its own (of near copies, the least altered), then documents that are still in different
+   components with each other. Links inside a component change nothing.
+   Two sets are only compared if enough is left of both: the first shingle that they share is
+   rare, and then a key whose own shingles from there on suffice for the overlap, or all their
+   shared shingles must.
 
 Shingles are compared by 48-bit hashes of their words: two of different text in one pair of
 documents are taken as equal once in about 10^8 pairs.
@@ -172,12 +176,14 @@ def _by_owner(token: np.ndarray, owner: np.ndarray, n: int) -> list[np.ndarray]:
 
 def signatures(
     tokens: np.ndarray, counts: np.ndarray, size: int, rule: Rule
-) -> np.ndarray:
-    """Index keys of a set: its shared tokens, in how many documents each is, its full size."""
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index keys of a set, and how many tokens it could share with a set that it first meets
+    there; from its shared tokens, in how many documents each is, and its full size."""
     order = np.lexsort((tokens, counts))
     tokens, rare = tokens[order], counts[order] <= rule.rare
     missing = size - rule.least(size) - (size - len(tokens)) + 1  # tokens that must be kept off
-    keys = []
+    rest = len(tokens) - np.arange(len(tokens))
+    keys, rests = [], []
     band = -1
     # A linked set is at most 100 / percent as large; bands double.
     while band < 0 or FIRST_BAND << band <= size:
@@ -186,25 +192,36 @@ def signatures(
             salt = _U((band + 2) * _BASE & _MASK)
             if band < 0:
                 keys.append(mix(tokens[:missing] + salt))
+                rests.append(rest[:missing])
             else:
                 classes = CLASSES << band
                 kind = np.where(rare, -1, (mix(tokens) % _U(classes)).astype(np.int64))
-                keys += _combinations(tokens, kind, classes, missing, salt)
+                end = prefix_end(kind, missing)
+                single = np.flatnonzero(kind[:end] < 0)
+                keys.append(mix(tokens[single] + salt))
+                rests.append(rest[single])
+                pairs = pair_keys(tokens[:end], kind[:end], salt)
+                keys.append(pairs)
+                rests.append(np.full(len(pairs), len(tokens)))
         band += 1
-    return np.unique(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
+    keys, first = np.unique(np.concatenate(keys), return_index=True)
+    return keys, np.concatenate(rests)[first]
 
 
-def _combinations(tokens, kind, classes, missing, salt) -> list[np.ndarray]:
-    # A token counts unless it is the first of a frequent class.
-    first = np.zeros(len(tokens), bool)
+def prefix_end(kind: np.ndarray, missing: int) -> int:
+    """How many tokens it takes until ``missing`` must be lost to destroy all combinations: a
+    token counts unless it is the first of a frequent class."""
+    first = np.zeros(len(kind), bool)
     frequent = np.flatnonzero(kind >= 0)
     first[frequent[np.unique(kind[frequent], return_index=True)[1]]] = True
-    worth = np.cumsum(~first)
-    end = int(np.searchsorted(worth, missing)) + 1
-    tokens, kind = tokens[:end], kind[:end]
-    keys = [mix(tokens[kind < 0] + salt)]
+    return int(np.searchsorted(np.cumsum(~first), missing)) + 1
+
+
+def pair_keys(tokens: np.ndarray, kind: np.ndarray, salt: np.uint64) -> np.ndarray:
+    """Keys of all pairs of tokens of one frequent class."""
     order = np.argsort(kind[kind >= 0], kind="stable")
     token, own = tokens[kind >= 0][order], kind[kind >= 0][order]
+    keys = [np.empty(0, np.uint64)]
     gap = 1
     while gap < len(token):
         same = np.flatnonzero(own[gap:] == own[:-gap])
@@ -214,14 +231,14 @@ def _combinations(tokens, kind, classes, missing, salt) -> list[np.ndarray]:
         high = np.maximum(token[same], token[same + gap])
         keys.append(mix(mix(low + salt) ^ (high * _U(_BASE | 1))))
         gap += 1
-    return keys
+    return np.concatenate(keys)
 
 
 def shared_shingles(
     docs: DataFrame, rule: Rule, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: ``row`` (a number), ``id``, ``size`` of its set, and if it may have
-    a link: ``digest`` of the set, its shared ``tokens`` (48 bit, ascending), index ``keys``."""
+    a link: ``digest`` of the set, its shared ``tokens`` (48 bit), index ``keys``."""
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(
         F.col(id_col).alias("id"),
@@ -330,7 +347,7 @@ def shared_shingles(
             T.StructField("row", T.LongType()),
             kind,
             *T.StructType.fromDDL(
-                "size bigint, digest binary, tokens binary, keys array<bigint>"
+                "size bigint, digest binary, tokens array<bigint>, keys array<bigint>, rests array<int>"
             ),
         ]
     )
@@ -351,17 +368,20 @@ def shared_shingles(
         singles = np.split(token[~many][single], bounds)
         totals = np.split(total[~many][single], bounds)
         chunk = table["chunk"][0].as_py()
-        size, tokens, keys = own["size"].to_pylist(), [], []
+        size, tokens, keys, rests = own["size"].to_pylist(), [], [], []
         for i in range(n):
             several = np.frombuffer(own["payload"][i].as_py(), "<u8")
             mine = np.concatenate([singles[i], several])
             if not len(mine) or 100 * len(mine) < rule.percent * size[i]:
                 tokens.append(None)
                 keys.append(None)
+                rests.append(None)
                 continue
             count = np.concatenate([totals[i], known_total[np.searchsorted(known, several)]])
-            keys.append(signatures(mine, count, size[i], rule).view(np.int64))
-            tokens.append(np.sort(mine).astype("<u8").tobytes())
+            own_keys, own_rests = signatures(mine, count, size[i], rule)
+            keys.append(own_keys.view(np.int64))
+            rests.append(own_rests.astype(np.int32))
+            tokens.append(mine.view(np.int64))
         place = own["place"].to_numpy().astype(np.int64)
         row = ((chunk >> 32) << 32) | ((chunk & 0xFFFFF) << 12) | place
         columns = [
@@ -369,8 +389,9 @@ def shared_shingles(
             own["id"].combine_chunks(),
             own["size"].combine_chunks(),
             own["digest"].combine_chunks(),
-            pa.array(tokens, pa.binary()),
+            pa.array(tokens, pa.list_(pa.int64())),
             pa.array(keys, pa.list_(pa.int64())),
+            pa.array(rests, pa.list_(pa.int32())),
         ]
         return pa.Table.from_arrays(columns, names=result.names)
 
@@ -386,26 +407,105 @@ def shared_shingles(
 def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) of rows that are linked, by the sets' shared tokens and sizes."""
     left, right = (
-        sets.select(
-            F.col("row").alias(x), F.col("size").alias(f"size_{x}"), F.col("tokens").alias(f"of_{x}")
-        )
-        for x in "ab"
+        sets.select(*(F.col(c).alias(f"{c}_{x}") for c in ("row", "size", "tokens"))) for x in "ab"
+    )
+    both = F.size(F.array_intersect("tokens_a", "tokens_b"))
+    return (
+        pairs.join(left, F.col("a") == F.col("row_a"))
+        .join(right, F.col("b") == F.col("row_b"))
+        .where(100 * both >= rule.percent * (F.col("size_a") + F.col("size_b") - both))
+        .select("a", "b")
     )
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            c = {n: batch.column(n) for n in batch.schema.names}
-            linked = []
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(c[k][i].as_py(), "<u8") for k in ("of_a", "of_b"))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                all_ = c["size_a"][i].as_py() + c["size_b"][i].as_py() - both
-                linked.append(100 * both >= rule.percent * all_)
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    joined = pairs.join(left, "a").join(right, "b")
-    return joined.select("a", "b", "size_a", "size_b", "of_a", "of_b").mapInArrow(
-        check, "a bigint, b bigint"
+
+CELL = 512  # rows of either side
+
+
+def between_components(
+    meetings: DataFrame, parts: DataFrame, sets: DataFrame, rule: Rule
+) -> DataFrame:
+    """Links (a, b) between the rows of any two components that meet (component_a, component_b).
+
+    The larger component is the host, the other its guest. Rows of a host and of all its guests
+    are dealt into cells of bounded size, each verified in one task; pairs are never emitted.
+    """
+    members = materialize(
+        sets.select("row").join(parts.withColumnRenamed("node", "row"), "row", "left").select(
+            "row", F.coalesce("component", "row").alias("component")
+        ),
+        "members",
+    )
+    counts = members.groupBy("component").agg(F.count("*").alias("n"))
+    a, b = (
+        counts.select(F.col("component").alias(f"component_{x}"), F.col("n").alias(f"n_{x}"))
+        for x in "ab"
+    )
+    first_hosts = F.struct("n_a", "component_a") > F.struct("n_b", "component_b")
+    either = lambda x, y: F.when(first_hosts, F.col(x)).otherwise(F.col(y))
+    visits = materialize(
+        meetings.join(a, "component_a")
+        .join(b, "component_b")
+        .select(
+            either("component_a", "component_b").alias("host"),
+            either("component_b", "component_a").alias("guest"),
+            either("n_a", "n_b").alias("host_rows"),
+            either("n_b", "n_a").alias("guest_rows"),
+        ),
+        "visits",
+    )
+    dealt = lambda c: F.ceil(F.col(c) / CELL).cast("int")
+    hosts = materialize(
+        visits.groupBy("host")
+        .agg(F.max("host_rows").alias("host_rows"), F.sum("guest_rows").alias("guest_rows"))
+        .select("host", dealt("host_rows").alias("host_parts"), dealt("guest_rows").alias("guest_parts")),
+        "hosts",
+    )
+    of = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = (
+        hosts.join(members, F.col("host") == F.col("component"))
+        .withColumn("host_part", of("host_parts"))
+        .withColumn("guest_part", every("guest_parts"))
+    )
+    right = (
+        visits.select("host", "guest")
+        .join(hosts, "host")
+        .join(members, F.col("guest") == F.col("component"))
+        .withColumn("guest_part", of("guest_parts"))
+        .withColumn("host_part", every("host_parts"))
+    )
+    cell = ["host", "host_part", "guest_part"]
+    seats = materialize(
+        left.select(*cell, "row", F.lit(False).alias("visits")).union(
+            right.select(*cell, "row", F.lit(True).alias("visits"))
+        ),
+        "cells",
+    )
+    filled = seats.join(sets.select("row", "size", "tokens"), "row")
+
+    def verify(table: pa.Table) -> pa.Table:
+        visits_ = table["visits"].to_numpy(zero_copy_only=False)
+        row, size = table["row"].to_numpy(), table["size"].to_numpy()
+        tokens = [t.values.to_numpy() for t in table["tokens"].combine_chunks()]
+        host, guest = np.flatnonzero(~visits_), np.flatnonzero(visits_)
+        found: list[tuple[int, int]] = []
+        if len(host):
+            values = np.concatenate([tokens[i] for i in host])
+            owner = np.repeat(np.arange(len(host)), [len(tokens[i]) for i in host])
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            for g in guest:
+                low = np.searchsorted(values, tokens[g], "left")
+                n = np.searchsorted(values, tokens[g], "right") - low
+                at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+                both = np.bincount(owner[at], minlength=len(host))
+                linked = 100 * both >= rule.percent * (size[g] + size[host] - both)
+                found += [(row[g], row[h]) for h in host[linked]]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return materialize(
+        filled.groupBy(*cell).applyInArrow(verify, "a bigint, b bigint"), "links-between"
     )
 
 
@@ -427,30 +527,37 @@ def join(
     )
     sets = materialize(
         alive.join(equal.select(F.col("rep").alias("row")), "row", "left_semi").select(
-            "row", "size", "tokens", "keys"
+            "row",
+            "size",
+            (F.col("size") - F.size("tokens")).alias("own"),
+            "tokens",
+            F.arrays_zip("keys", "rests").alias("keys"),
         ),
         "sets",
     )
-    entries = sets.select("row", "size", F.explode("keys").alias("key"))
+    entries = sets.select("row", "size", "own", F.explode("keys").alias("k")).select(
+        "row", "size", "own", F.col("k.keys").alias("key"), F.col("k.rests").alias("rest")
+    )
     heads = materialize(
         entries.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min(F.struct("row", "size")).alias("head"))
+        .agg(F.count("*").alias("n"), F.min(F.struct("own", "row", "size", "rest")).alias("head"))
         .where("n > 1")
-        .select("key", F.col("head.row").alias("head"), F.col("head.size").alias("head_size")),
+        .select("key", *(F.col(f"head.{c}").alias(f"head_{c}") for c in ("row", "size", "rest"))),
         "heads",
     )
-    index = materialize(
-        entries.join(heads, "key").select("key", "row", "size", "head", "head_size"), "index"
-    )
+    index = materialize(entries.drop("own").join(heads, "key"), "index")
 
-    def similar_in_size(x: str, y: str):
-        low, high = F.least(x, y), F.greatest(x, y)
-        return high * rule.percent <= low * 100
+    def may_link(size_a: str, rest_a: str, size_b: str, rest_b: str):
+        """The sizes are near enough, and what is left suffices for the overlap."""
+        low, high = F.least(size_a, size_b), F.greatest(size_a, size_b)
+        both = F.col(size_a) + F.col(size_b)
+        enough = F.least(rest_a, rest_b) * (100 + rule.percent) >= both * rule.percent
+        return (high * rule.percent <= low * 100) & enough
 
     first = materialize(
-        index.where("row != head")
-        .where(similar_in_size("size", "head_size"))
-        .select(F.col("head").alias("a"), F.col("row").alias("b"))
+        index.where("row != head_row")
+        .where(may_link("size", "rest", "head_size", "head_rest"))
+        .select(F.least("head_row", "row").alias("a"), F.greatest("head_row", "row").alias("b"))
         .distinct(),
         "first-pairs",
     )
@@ -458,42 +565,34 @@ def join(
     parts = components(links)
     placed = materialize(
         index.join(parts.withColumnRenamed("node", "row"), "row", "left").select(
-            "key", "row", "size", F.coalesce("component", "row").alias("component")
+            "key", "row", "size", "rest", F.coalesce("component", "row").alias("component")
         ),
         "placed",
     )
+    # Components that meet under a key, by the sizes and rests of their sets there.
     groups = placed.groupBy("key", "component").agg(
-        F.min("size").alias("small"), F.max("size").alias("large")
-    )
-    mixed = (
-        groups.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+        F.min("size").alias("small"), F.max("size").alias("large"), F.max("rest").alias("rest")
     )
+    mixed = groups.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     groups = materialize(groups.join(mixed, "key", "left_semi"), "groups")
     left, right = (
         groups.select(
-            "key", *(F.col(c).alias(f"{c}_{x}") for c in ("component", "small", "large"))
+            "key", *(F.col(c).alias(f"{c}_{x}") for c in ("component", "small", "large", "rest"))
         )
         for x in "ab"
     )
-    meetings = left.join(right, "key").where(
-        (F.col("component_a") < F.col("component_b"))
-        & (F.col("small_a") * rule.percent <= F.col("large_b") * 100)
-        & (F.col("small_b") * rule.percent <= F.col("large_a") * 100)
-    ).select("key", "component_a", "component_b")
-    members = [
-        placed.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("row", "size", "component")))
-        for x in "ab"
-    ]
-    second = materialize(
-        meetings.join(members[0], ["key", "component_a"])
-        .join(members[1], ["key", "component_b"])
-        .where(similar_in_size("size_a", "size_b"))
-        .select(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti"),
-        "second-pairs",
+    small = F.col("small_a") + F.col("small_b")
+    meetings = (
+        left.join(right, "key")
+        .where(
+            (F.col("component_a") < F.col("component_b"))
+            & (F.col("small_a") * rule.percent <= F.col("large_b") * 100)
+            & (F.col("small_b") * rule.percent <= F.col("large_a") * 100)
+            & (F.least("rest_a", "rest_b") * (100 + rule.percent) >= small * rule.percent)
+        )
+        .select("key", "component_a", "component_b")
     )
-    more = materialize(verified(second, sets, rule), "second-links")
+    more = between_components(meetings.drop("key").distinct(), parts, sets, rule)
     parts = components(links.union(more)) if more.head(1) else parts
     # From rows that stand for equal sets to all rows, and to the least id of each component.
     of_rep = equal.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
