@@ -38,7 +38,7 @@ LETTERS = 3  # length of the subsequences compared
 WIDTH = 24  # longer words are taken in overlapping stretches
 BEGIN, END = b"^^", b"$"  # a begin counts twice: word beginnings are what a stem has
 SHARED = 4  # subsequences that a word and a landmark must share to be compared
-SLICE = 8192  # texts whose distinct words are compared at once
+SLICE, SLICE_BYTES = 2048, 8 << 20  # texts whose distinct words are compared at once
 PER_WORDS = 50  # a sum over words counts as if a text had this many
 _DROP = bytes(b for b in range(128) if not (97 <= b <= 122 or b in b" \t\n\r\f\v"))
 _SPACED = re.compile(r"(?:(?<![^\W\d_])[^\W\d_][\W\d_]{1,3}){3,}[^\W\d_](?![^\W\d_])")
@@ -251,11 +251,12 @@ def fit(
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(landmarks, settings)
         for batch in batches:
-            values = text_values(batch.column("text").to_pylist(), matcher)
-            packed = [v.astype("<f8").tobytes() for v in values]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array(packed, pa.binary())], names=["label", "measured"]
-            )
+            for part, texts in slices(batch, batch.schema.get_field_index("text")):
+                packed = [v.astype("<f8").tobytes() for v in text_values(texts, matcher)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("label"), pa.array(packed, pa.binary())],
+                    names=["label", "measured"],
+                )
 
     rows = sample.mapInArrow(measure, "label int, measured binary").collect()
     rows = sorted((r["label"], bytes(r["measured"])) for r in rows)
@@ -361,6 +362,19 @@ def logistic(margin: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
+def slices(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of a batch of bounded size, each with its texts (null: empty)."""
+    begin, texts, size = 0, [], 0
+    for text in batch.column(text_at):
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
+        if len(texts) == SLICE or size >= SLICE_BYTES:
+            yield batch.slice(begin, len(texts)), texts
+            begin, texts, size = begin + len(texts), [], 0
+    if texts:
+        yield batch.slice(begin), texts
+
+
 def score(
     docs: DataFrame,
     model: Model | None,
@@ -373,17 +387,15 @@ def score(
     kept = [c for c in keep or docs.columns if c not in added.names]
     # A kept text goes to the task once.
     extra = [] if text_col in kept else [F.col(text_col).alias("__text")]
-    source = docs.select(*kept, *extra)
+    source = docs.select(*(F.col(f"`{c}`") for c in kept), *extra)
     result = T.StructType([*source.schema.fields[: len(kept)], *added.fields])
     text_at = len(kept) if extra else kept.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.landmarks, model.settings) if model else None
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part, texts in slices(batch, text_at):
                 if matcher:
-                    texts = (t.as_py() or "" for t in part.column(text_at))
                     found = model.scores(text_values(texts, matcher))
                 else:
                     found = np.zeros(part.num_rows)
