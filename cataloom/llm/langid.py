@@ -35,6 +35,7 @@ _FOLD = bytes(
 @dataclass(frozen=True)
 class Settings:
     per_lang: int = 1500
+    langs: int = 256  # the most frequent labels are learned
     vocabulary: int = 8192
     clusters: int = 4
     #: Share of training texts that may be further from their centroid than the limit is
@@ -128,7 +129,13 @@ def fit(
     """
     settings = settings or Settings()
     rows = training_rows(docs, id_col, lang_col).where(F.length(text_col) > 0)
-    sizes = rows.groupBy(lang_col).count().collect()
+    sizes = (
+        rows.groupBy(lang_col)
+        .count()
+        .orderBy(F.desc("count"), lang_col)
+        .limit(settings.langs)
+        .collect()
+    )
     if not sizes:
         return None
     share = F.coalesce(
@@ -248,7 +255,7 @@ def predict(
     kept = [c for c in keep or docs.columns if c not in added.names]
     # A kept text goes to the task once.
     extra = [] if text_col in kept else [F.col(text_col).alias("__text")]
-    source = docs.select(*kept, *extra)
+    source = docs.select(*(F.col(f"`{c}`") for c in kept), *extra)
     result = T.StructType([*source.schema.fields[: len(kept)], *added.fields])
     text_at = len(kept) if extra else kept.index(text_col)
 

@@ -16,18 +16,31 @@ from cataloom.storage import materialize
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+RESULTS = ("lang_pred", "score", "rejected", "predicted")
+
+
+def place(docs: DataFrame, column: str) -> str:
+    return f"c{docs.columns.index(column)}"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """Columns named by their place, so that none has the name of a result."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that language identification rejects: without letters, or far from all
     languages learned."""
-    found = langid.predict(docs, langid.fit(docs))
-    return found.where("not rejected").select(*docs.columns)
+    found = langid.predict(numbered(docs), langid.fit(docs), text_col=place(docs, "text"))
+    return found.where("not rejected").drop(*RESULTS).toDF(*docs.columns)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents predicted as toxic by what the labelled ones among them teach."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.score(docs, toxicity.fit(docs, labels))
-    return scored.where("predicted = 0").select(*docs.columns)
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.score(numbered(docs), model, text_col=place(docs, "text"))
+    return scored.where("predicted = 0").drop(*RESULTS).toDF(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
