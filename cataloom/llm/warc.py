@@ -22,7 +22,7 @@ import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,18 +129,22 @@ class Bundle:
 
 
 class Reader:
-    """Frames of a finished bundle by their number; only the asked-for ones are decompressed."""
+    """Frames of a finished bundle by their number. Only the seek table and the frames asked
+    for are read from the file, which must allow random access."""
 
-    def __init__(self, content: bytes):
-        frames, flags, magic = struct.unpack_from("<IBI", content, len(content) - 9)
+    def __init__(self, file: pa.NativeFile):
+        size = file.size()
+        if size < 9:
+            raise ValueError("no seek table")
+        frames, flags, magic = struct.unpack("<IBI", file.read_at(9, size - 9))
         if magic != SEEKABLE_MAGIC:
             raise ValueError("no seek table")
         width = 12 if flags & 0x80 else 8
-        at = len(content) - 9 - frames * width
-        self._content, self._spans, begin = content, [], 0
+        table = file.read_at(frames * width, size - 9 - frames * width)
+        self._file, self._spans, begin = file, [], 0
         for i in range(frames):
-            packed, size = struct.unpack_from("<II", content, at + i * width)
-            self._spans.append((begin, packed, size))
+            packed, content = struct.unpack_from("<II", table, i * width)
+            self._spans.append((begin, packed, content))
             begin += packed
         self._open = zstandard.ZstdDecompressor()
 
@@ -149,7 +153,7 @@ class Reader:
 
     def frame(self, number: int) -> bytes:
         begin, packed, size = self._spans[number]
-        part = self._content[begin : begin + packed]
+        part = self._file.read_at(packed, begin)
         return self._open.decompress(part, max_output_size=max(size, 1))
 
 
@@ -246,50 +250,47 @@ READ = (
 )
 
 
-def read(
-    spark: SparkSession, path: str, index: DataFrame, payloads: bool = True
-) -> DataFrame:
+def read(path: str, index: DataFrame, payloads: bool = True) -> DataFrame:
     """Every indexed record out of the bundles below ``path``: id, type, URI, the page a revisit
     refers to, size and bare hexadecimal SHA-1 of the full payload, and the payload stored.
 
-    Each frame is decompressed once. A digest or id that is not the one announced is an error.
+    A task opens the bundles that the index sends to it and reads each frame it needs once. A
+    digest or id that is not the one announced is an error.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .where(F.col("path").endswith(".warc.zst"))
-        .select(F.element_at(F.split("path", "/"), -1).alias("bundle"), "content")
-    )
     wanted = index.groupBy("bundle").agg(
         F.collect_list(F.struct("frame", "offset", F.col("id").cast("string").alias("id"))).alias(
             "records"
         )
     )  # at most the records of one bundle
+    schema = pa.schema(
+        [
+            *((n, pa.string()) for n in ("page", "record_type", "target_uri", "refers_to")),
+            ("payload_bytes", pa.int64()),
+            ("payload_digest", pa.string()),
+            ("payload", pa.binary()),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema(
-            [
-                *((n, pa.string()) for n in ("page", "record_type", "target_uri", "refers_to")),
-                ("payload_bytes", pa.int64()),
-                ("payload_digest", pa.string()),
-                ("payload", pa.binary()),
-            ]
-        )
+        store, folder = fs.FileSystem.from_uri(path)
         for batch in batches:
-            for content, records in zip(batch.column("content"), batch.column("records"), strict=True):
-                reader = Reader(content.as_py())
-                frame, opened, rows = -1, b"", []
-                for x in sorted(records.as_py(), key=lambda x: (x["frame"], x["offset"])):
-                    if x["frame"] != frame:
-                        frame = x["frame"]
-                        opened = reader.frame(frame)
-                    rows.append(_row(opened, x["offset"], x["id"], payloads))
-                    if len(rows) == 1000:
-                        yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows = []
-                yield pa.RecordBatch.from_pylist(rows, schema)
-
-    return files.join(wanted, "bundle").select("content", "records").mapInArrow(run, READ)
+            for name, records in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                with store.open_input_file(f"{folder}/{name}") as file:
+                    yield from rows_of(Reader(file), records)
+
+    def rows_of(reader: Reader, records: list[dict]) -> Iterator[pa.RecordBatch]:
+        frame, content, rows = -1, b"", []
+        for x in sorted(records, key=lambda x: (x["frame"], x["offset"])):
+            if x["frame"] != frame:
+                frame = x["frame"]
+                content = reader.frame(frame)
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+                rows = []
+            rows.append(_row(content, x["offset"], x["id"], payloads))
+        yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return wanted.mapInArrow(run, READ)
 
 
 def _row(content: bytes, offset: int, id_: str | None, payloads: bool) -> dict:
@@ -327,4 +328,4 @@ def archive(
     index = write(pages, path, id_col, url_col, payload_col, min_revisit)
     if not index.head(1):
         return spark.createDataFrame([], T.StructType.fromDDL(READ))
-    return read(spark, path, index, payloads)
+    return read(path, index, payloads)
