@@ -54,6 +54,9 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Fixed value: how the line on freshness begins.
+UPDATE_TEXT = "Last database update: "
+
 # Limits.
 PRICE_CEILING = 1500.0
 BATCH_SIZE = 2500

@@ -13,8 +13,12 @@ def minutes_to_hours(minutes: Column) -> Column:
 
 
 def to_long(text: Column) -> Column:
-    """Whole number from text such as ``12`` or ``12.0``; null when it is neither."""
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    """Whole number from text such as ``12`` or ``12.0``; null for all else.
+
+    The digits are taken as they stand, so no number is altered on the way.
+    """
+    whole = F.regexp_extract(text, r"^\s*([+-]?\d+)(?:\.0*)?\s*$", 1)
+    return F.when(whole != "", whole.try_cast("bigint"))
 
 
 def parse_range(text: Column) -> Column:

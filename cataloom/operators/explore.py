@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cataloom.constants import CATEGORICAL_BELOW, DISPLAY_LABELS, PREVIEW_ROWS
+from cataloom.constants import CATEGORICAL_BELOW, DISPLAY_LABELS, PREVIEW_ROWS, UPDATE_TEXT
 from cataloom.functions import elapsed_text
 
 
@@ -135,13 +135,21 @@ def apply_filters(df: DataFrame, specs: Sequence[In | Between | Matches]) -> Dat
     return reduce(lambda d, spec: d.where(spec.predicate()), specs, df)
 
 
+def as_datetime(text: Column) -> Column:
+    """A date-time with a year of exactly four digits, on its own or followed by more of a
+    date; null for all else, such as longer runs of digits."""
+    shaped = text.rlike(r"^\s*\d{4}\s*$|^\s*\d{4}-")
+    return F.when(shaped, text.try_cast("timestamp_ntz"))
+
+
 def cast_datetimes(df: DataFrame) -> DataFrame:
     """Text columns of which every value is a date-time become timestamps without zone.
 
-    One aggregate over all text columns decides; timestamps with zone drop it.
+    One aggregate over all text columns decides; timestamps with zone drop it. A column of
+    bare years counts as dates, one of other digits stays text.
     """
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    as_time = {c: F.col(f"`{c}`").try_cast("timestamp_ntz") for c in texts}
+    as_time = {c: as_datetime(F.col(f"`{c}`")) for c in texts}
     changes = {
         f.name: F.col(f"`{f.name}`").cast("timestamp_ntz")
         for f in df.schema
@@ -157,6 +165,17 @@ def cast_datetimes(df: DataFrame) -> DataFrame:
     return df.withColumns(changes) if changes else df
 
 
+def explore_table(
+    df: DataFrame, specs: Sequence[In | Between | Matches] = (), exact: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(profile that says which filter each column takes, rows that pass the chosen filters).
+
+    Date-times kept as text are found first, so both see them as date-times.
+    """
+    typed = cast_datetimes(df)
+    return profile(typed, exact=exact), apply_filters(typed, specs)
+
+
 def display_names(df: DataFrame, labels: dict = DISPLAY_LABELS) -> DataFrame:
     """Columns under the names shown to readers."""
     return df.withColumnsRenamed({c: labels.get(c, c.capitalize()) for c in df.columns})
@@ -173,7 +192,7 @@ def freshness(
     pick = F.max if latest else F.min
     last = df.agg(pick(loaded_at).alias("last_update"))
     seconds = F.timestamp_diff("SECOND", F.col("last_update"), F.lit(now))
-    message = F.concat(F.lit("Last database update: "), elapsed_text(seconds), F.lit(" ago"))
+    message = F.concat(F.lit(UPDATE_TEXT), elapsed_text(seconds), F.lit(" ago"))
     if zone:
         session_zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
         local = F.convert_timezone(F.lit(session_zone), F.lit(zone), F.col("last_update"))

@@ -5,15 +5,9 @@ from pyspark.sql import functions as F
 
 from cataloom.functions import last_value_per_key, strip
 from cataloom.operators.ids import number_rows
-from cataloom.storage import materialize
 
 # A dimension up to this many bytes of labels and ids is broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Beyond that, this many most frequent labels take their own path (labels of at most
-# HOT_BYTES, so that what is broadcast stays below 16 MB). The next one then has less
-# than 1/HOT_LABELS of all links.
-HOT_LABELS = 256
-HOT_BYTES = 64 * 1024
 
 
 def normalize_list(
@@ -89,21 +83,10 @@ def look_up(
 ) -> DataFrame:
     """Replace labels by ids.
 
-    A dimension of checked small size is broadcast. A larger one is joined by shuffle,
-    except for its most frequent labels: these are counted (with partial counts before
-    the shuffle), broadcast, and joined where the links are, so no shuffled label holds
-    a large share of the links.
+    A dimension of checked small size is broadcast. A larger one is joined by shuffle: both
+    sides are plain shuffles, so adaptive execution splits the label that has a large share of
+    the links, and the links are made once.
     """
     if dim_bytes <= BROADCAST_BYTES:
         return links.join(F.broadcast(dim), label, "left")
-    frequent = (
-        links.groupBy(label)
-        .agg(F.count("*").alias("_links"))
-        .where(F.octet_length(label) <= HOT_BYTES)
-        .orderBy(F.col("_links").desc(), label)
-        .limit(HOT_LABELS)
-        .select(label)
-    )
-    hot = F.broadcast(materialize(dim.join(F.broadcast(frequent), label), "hot_labels"))
-    rest = links.join(hot.select(label), label, "left_anti")
-    return links.join(hot, label).unionByName(rest.join(dim, label, "left"))
+    return links.join(dim, label, "left")

@@ -63,15 +63,75 @@ def check_foreign_key(
     return _report(found, "foreign_key", table, column, F.sum("num_rows"))
 
 
+def check_table(df: DataFrame, table: str, key: str, required: Sequence[str]) -> DataFrame:
+    """Nulls per required column and keys that are not unique, in one pass over the table."""
+    per_key = df.groupBy(key).agg(
+        F.count("*").alias("_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(required)],
+    )
+    counts = per_key.agg(
+        F.count_if(F.col("_rows") > 1).alias("_key"),
+        *[F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(required))],
+    )
+
+    def row(check: str, column: str, count: str):
+        return F.struct(
+            F.lit(check).alias("check"),
+            F.lit(table).alias("table"),
+            F.lit(column).alias("column"),
+            F.col(count).cast("bigint").alias("violations"),
+        )
+
+    rows = [row("not_null", c, f"_{i}") for i, c in enumerate(required)]
+    return counts.select(F.inline(F.array(*rows, row("primary_key", key, "_key"))))
+
+
+def check_foreign_keys(
+    df: DataFrame, table: str, parents: Sequence[tuple[str, DataFrame, str]]
+) -> DataFrame:
+    """Rows that point at no parent, for all (column, parent, parent column) in one pass."""
+    ends = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("key")) for c, _, _ in parents]
+    )
+    used = (
+        df.select(F.inline(ends))
+        .where(F.col("key").isNotNull())
+        .groupBy("column", "key")
+        .agg(F.count("*").alias("num_rows"))
+    )
+    known = reduce(
+        DataFrame.union,
+        [p.select(F.lit(c).alias("column"), F.col(k).alias("key")) for c, p, k in parents],
+    )
+    lost = used.join(known, ["column", "key"], "left_anti")
+    counts = lost.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("column") == c, F.col("num_rows"))), F.lit(0)).alias(
+                f"_{i}"
+            )
+            for i, (c, _, _) in enumerate(parents)
+        ]
+    )
+    rows = [
+        F.struct(
+            F.lit("foreign_key").alias("check"),
+            F.lit(table).alias("table"),
+            F.lit(c).alias("column"),
+            F.col(f"_{i}").cast("bigint").alias("violations"),
+        )
+        for i, (c, _, _) in enumerate(parents)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every declared constraint of the clean tables."""
+    """Every declared constraint of the clean tables; each table with a key and each bridge is
+    read once for its own checks, and once more for what it is a parent of."""
     parts = [
-        check_not_null(tables[name], name, [f.name for f in CLEAN[name] if not f.nullable])
-        for name in PRIMARY_KEYS
-    ]
-    parts += [check_primary_key(tables[t], t, [key]) for t, key in PRIMARY_KEYS.items()]
-    parts += [
-        check_foreign_key(tables[t], t, column, tables[parent], parent_column)
-        for t, column, parent, parent_column in FOREIGN_KEYS
+        check_table(tables[t], t, key, [f.name for f in CLEAN[t] if not f.nullable])
+        for t, key in PRIMARY_KEYS.items()
     ]
+    for name in dict.fromkeys(t for t, *_ in FOREIGN_KEYS):
+        parents = [(c, tables[p], k) for t, c, p, k in FOREIGN_KEYS if t == name]
+        parts.append(check_foreign_keys(tables[name], name, parents))
     return reduce(DataFrame.unionByName, parts)

@@ -11,11 +11,16 @@ from cataloom.operators.sizes import broadcast_if_small
 
 @dataclass(frozen=True)
 class Criterion:
-    """A measure to rank by: average of ``column``, or the number of facts if it is None."""
+    """A measure to rank by: average of ``column``, or the number of facts if it is None.
+
+    Values are added as decimals of ``places`` places, so the sum does not depend on the order
+    of rows, and averages are ranked as rounded to as many.
+    """
 
     alias: str
     column: str | None = None
     positive_only: bool = False
+    places: int = 6
 
 
 CRITERIA = {
@@ -58,8 +63,8 @@ def rank_by_dimension(
     kept = fact.where(F.col(price).between(*price_range))
     if rule.positive_only:
         kept = kept.where(F.col(rule.column) > 0)
-    # A bigint average is taken over doubles, as avg() does, so it cannot overflow.
-    value = F.col(rule.column).cast("double") if rule.column else F.col(fact_id)
+    exact = f"decimal({19 + rule.places},{rule.places})"
+    value = F.col(rule.column).cast(exact) if rule.column else F.col(fact_id)
     kept = kept.select(fact_id, value.alias("_value"))
     total = F.sum("_value") if rule.column else F.lit(None).cast("double")
     names = dim.select(dim_id, label)
@@ -75,7 +80,8 @@ def rank_by_dimension(
         sums = per_id.join(names, dim_id).groupBy(label)
         sums = sums.agg(F.sum("_total").alias("_total"), F.sum("_rows").alias("_rows"))
 
-    result = F.try_divide("_total", "_rows") if rule.column else F.col("_rows")
+    average = F.round(F.try_divide(F.col("_total").cast("double"), F.col("_rows")), rule.places)
+    result = average if rule.column else F.col("_rows")
     return top_n(sums.select(label, result.alias(rule.alias)), rule.alias, n, label)
 
 

@@ -43,8 +43,9 @@ def facet_matches(facet: Facet, fact_id: str) -> DataFrame:
     links = facet.bridge.select(fact_id, facet.dim_id)
     if facet.match_key == "id":
         hits = links.join(broadcast_if_small(dim.select(facet.dim_id)), facet.dim_id)
-        found = hits.groupBy(fact_id).agg(F.count_distinct(facet.dim_id).alias("_found"))
-        return found.where(F.col("_found") == len(values)).select(fact_id)
+        # A set per fact holds at most the chosen ids and needs one shuffle.
+        found = hits.groupBy(fact_id).agg(F.collect_set(facet.dim_id).alias("_found"))
+        return found.where(F.size("_found") == len(values)).select(fact_id)
     if facet.match_key != "label":
         raise ValueError(f"unknown match_key {facet.match_key!r}")
     # One bit per chosen label: OR-ing bits needs one shuffle and combines before it,
@@ -76,9 +77,8 @@ def search(
 ) -> DataFrame:
     """Top facts by a measure among those matching all facets; equal result rows merge.
 
-    The n largest different values of the measure belong to at least n different rows, so
-    rows below the least of them cannot be in the result. Finding that value reads one
-    column and shuffles its distinct values; the whole rows are shuffled only above it.
+    One pass over the fact: equal rows merge in the map tasks first, and each task sends its
+    own n best on.
     """
     if order_by not in columns:
         raise ValueError(f"{order_by!r} is not among the result columns")
@@ -86,7 +86,5 @@ def search(
     for facet in facets:
         if facet.values:
             hits = hits.join(facet_matches(facet, fact_id), fact_id, "left_semi")
-    measure = F.col(order_by)
-    least = top_n(hits.select(order_by).distinct(), order_by, n).agg(F.min(order_by)).scalar()
-    rows = hits.select(*columns).where(measure.isNull() | (measure >= least)).distinct()
+    rows = hits.select(*columns).distinct()
     return top_n(rows, order_by, n, *[c for c in columns if c != order_by])

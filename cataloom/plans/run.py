@@ -33,7 +33,8 @@ def run(
 ) -> Outcome:
     """Extract to ``base/raw``, transform to ``base/clean``, refresh tables in ``base/tables``.
 
-    A failing stage raises, and the stages after it do not run.
+    A failing stage raises, and the stages after it do not run. All rejected rows are written,
+    below paths of their own, and stay what they are when the next run replaces the rest.
     """
     raw = extract(spark, list_path, details_path, f"{base}/raw", start, batch_size, one_document)
     _, rejected_facts = build_star(raw["app_details"], f"{base}/clean")

@@ -22,6 +22,7 @@ from cataloom.schemas import CLEAN, RAW_DETAIL_COLUMNS
 from cataloom.sources.tables import read_staged, write_tables
 from cataloom.storage import materialize
 
+MONEY_COLUMNS = ("price", "initialprice")
 TIME_COLUMNS = ("average_forever", "average_2weeks", "median_forever", "median_2weeks")
 APP_COLUMNS = tuple(CLEAN["apps"].names)
 
@@ -32,38 +33,50 @@ def spread(df: DataFrame, array_col: str, names: list[str]) -> DataFrame:
     return df.withColumns(items).drop(array_col)
 
 
-def clean_facts(raw: DataFrame, order_col: str = "row_seq", tokens=NULL_TOKENS) -> DataFrame:
-    """Typed facts, one per id, with the list columns still as text.
+REJECTED = ("appid", "name", "reason")
 
-    The steps keep their order: required fields, price ceiling, then first row per id,
-    so a later copy can win when an earlier one was filtered out.
+
+def clean_facts(
+    raw: DataFrame, order_col: str = "row_seq", tokens=NULL_TOKENS
+) -> tuple[DataFrame, DataFrame]:
+    """(typed facts, one per id, with the list columns still as text; rejected rows).
+
+    The steps keep their order: required fields, readable cells, price ceiling, then first row
+    per id, so a later copy can win when an earlier one was filtered out. A row with an id that
+    is no whole number, or with a price, measure or count that is text but no number, is
+    rejected; ``reason`` lists those columns. A missing price drops the row, as the ceiling does.
     """
     cells = {c: null_tokens(F.col(c).cast("string"), tokens) for c in RAW_DETAIL_COLUMNS}
     df = raw.select(order_col, *[c.alias(n) for n, c in cells.items()])
     df = df.dropna(subset=["name", "developer", "publisher"])
+    numbers = {c: F.col(c).try_cast("double") for c in (*MONEY_COLUMNS, *TIME_COLUMNS, "discount")}
+    numbers |= {"appid": to_long(F.col("appid")), "ccu": to_long(F.col("ccu"))}
+    faults = [
+        F.when((F.col(c).isNotNull() | F.lit(c == "appid")) & number.isNull(), F.lit(c))
+        for c, number in sorted(numbers.items())
+    ]
+    df = df.withColumn("reason", F.concat_ws(",", *faults))
+    rejected = df.where(F.col("reason") != "").select(order_col, *REJECTED)
+    df = df.where(F.col("reason") == "").drop("reason")
+    df = df.withColumns(
+        {
+            **numbers,
+            **{c: cents_to_units(numbers[c]) for c in MONEY_COLUMNS},
+            **{c: minutes_to_hours(numbers[c]) for c in TIME_COLUMNS},
+            "owners": parse_range(F.col("owners")),
+        }
+    )
     df = df.withColumnsRenamed(
         {
             "appid": "id_app",
             "price": "price_usd",
             "initialprice": "initial_price_usd",
             "ccu": "peak_ccu_yesterday",
+            **{c: f"{c}_hs" for c in TIME_COLUMNS},
         }
     )
-    df = df.withColumns(
-        {
-            "id_app": to_long(F.col("id_app")),
-            "price_usd": cents_to_units(F.col("price_usd").try_cast("double")),
-            "initial_price_usd": cents_to_units(F.col("initial_price_usd").try_cast("double")),
-            "peak_ccu_yesterday": to_long(F.col("peak_ccu_yesterday")),
-            "discount": F.col("discount").try_cast("double"),
-            **{c: minutes_to_hours(F.col(c).try_cast("double")) for c in TIME_COLUMNS},
-            "owners": parse_range(F.col("owners")),
-        }
-    )
-    df = df.withColumnsRenamed({c: f"{c}_hs" for c in TIME_COLUMNS})
-    df = df.where(F.col("id_app").isNotNull() & (F.col("price_usd") <= PRICE_CEILING))
-    df = keep_first(df, "id_app", [order_col])
-    return spread(df, "owners", ["owners_min", "owners_max"])
+    df = keep_first(df.where(F.col("price_usd") <= PRICE_CEILING), "id_app", [order_col])
+    return spread(df, "owners", ["owners_min", "owners_max"]), rejected
 
 
 def parse_lists(facts: DataFrame) -> DataFrame:
@@ -85,16 +98,21 @@ def build_star(
     fmt: str = "parquet",
     tokens=NULL_TOKENS,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The seven clean tables, and the facts rejected for broken tags.
+    """The seven clean tables, and the rejected rows with the reason for each: cells that are
+    no numbers, or ``tags`` that cannot be parsed.
 
     Raw text is cleaned and parsed once and written; each dimension and bridge then
     reads only its own column of that table. With ``out`` the tables are written below it,
     one directory each, and Parquet ones are returned as read from there.
     """
     spark = raw.sparkSession
-    parsed = materialize(parse_lists(clean_facts(raw, order_col, tokens)), "parsed")
+    typed, unreadable = clean_facts(raw, order_col, tokens)
+    parsed = materialize(parse_lists(typed), "parsed")
     facts = parsed.where(~F.col("_bad"))
-    rejected = parsed.where("_bad").select(*APP_COLUMNS, "tags_text")
+    broken = parsed.where("_bad").select(
+        order_col, F.col("id_app").cast("string").alias("appid"), "name", F.lit("tags").alias("reason")
+    )
+    rejected = materialize(unreadable.unionByName(broken), "rejected_facts")
 
     facts, genres, apps_genres = normalize_list(
         facts, "id_app", "genre", "id_genre", "genre", order_col

@@ -34,15 +34,20 @@ def _rank_languages(spark, d, criterion, **options) -> DataFrame:
     )
 
 
+def _average(column: str) -> str:
+    """Exact whatever the order of rows, rounded as the operator rounds."""
+    total = f"CAST(sum(CAST({column} AS DECIMAL(25, 6))) AS DOUBLE)"
+    return f"round({total} / count({column}), 6)"
+
+
 def _rank_sql(
-    roles_sql, frm, label, measure, alias, extra="", rounded=True, n=10, low=0, high=1500
+    roles_sql, frm, label, measure, alias, extra="", n=10, low=0, high=1500
 ):
-    shown = f"round({alias}, 6) AS {alias}" if rounded else alias
     return f"""WITH {roles_sql}, ranked AS (
         SELECT {label}, {measure} AS {alias} FROM {frm}
         WHERE price_usd BETWEEN {low} AND {high}{extra} GROUP BY {label}
         ORDER BY {alias} DESC NULLS FIRST, {label} ASC NULLS LAST LIMIT {n})
-    SELECT {label}, {shown} FROM ranked"""
+    SELECT {label}, {alias} FROM ranked"""
 
 
 _BY_LANGUAGE = "apps JOIN apps_languages USING (id_app) JOIN languages USING (id_language)"
@@ -65,7 +70,7 @@ def _rank_tags(spark, d, criterion, **options) -> DataFrame:
 
 
 @query(_rank_sql(f"{APPS}, {LANGUAGES}", _BY_LANGUAGE, "normalized_language",
-                 "count(id_app)", "apps_count", rounded=False))
+                 "count(id_app)", "apps_count"))
 def rank_count(spark, d):
     return _rank_languages(spark, d, "apps_count")
 
@@ -80,15 +85,14 @@ def _register_rankings() -> None:
     for dimension, (rank, tables, frm, label) in dimensions.items():
         for criterion, rule in CRITERIA.items():
             extra = f" AND {rule.column} > 0" if rule.positive_only else ""
-            measure = f"avg({rule.column})" if rule.column else "count(id_app)"
+            measure = _average(rule.column) if rule.column else "count(id_app)"
             sql = _rank_sql(
                 f"{APPS}, {tables}", frm, label, measure, rule.alias, extra,
-                rounded=bool(rule.column), n=20, low=0, high=8,
+                n=20, low=0, high=8,
             )
 
-            def run(spark, d, rank=rank, criterion=criterion, rule=rule):
-                ranking = rank(spark, d, criterion, n=20, price_range=(0, 8))
-                return _rounded(ranking, rule.alias) if rule.column else ranking
+            def run(spark, d, rank=rank, criterion=criterion):
+                return rank(spark, d, criterion, n=20, price_range=(0, 8))
 
             query(sql, f"rank_{dimension}_{rule.alias}")(run)
 
@@ -97,15 +101,15 @@ _register_rankings()
 
 
 @query(_rank_sql(f"{APPS}, {LANGUAGES}", _BY_LANGUAGE, "normalized_language",
-                 "count(DISTINCT id_app)", "apps_count", rounded=False))
+                 "count(DISTINCT id_app)", "apps_count"))
 def rank_distinct_facts(spark, d):
     return _rank_languages(spark, d, "apps_count", distinct_facts=True)
 
 
 @query(_rank_sql(f"{APPS}, {LANGUAGES}", _BY_LANGUAGE, "normalized_language",
-                 "avg(owners_max)", "avg_owners_max"))
+                 _average("owners_max"), "avg_owners_max"))
 def rank_resorted(spark, d):
-    return _rounded(resorted(_rank_languages(spark, d, "owners_max")), "avg_owners_max")
+    return resorted(_rank_languages(spark, d, "owners_max"))
 
 
 @query(f"""WITH {GENRES}, {TAGS}
@@ -405,6 +409,33 @@ def datetime_cast(spark, d):
     return explore.cast_datetimes(orders)
 
 
+@query("""SELECT event_id, strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS seen,
+        CAST(10000 + user_id AS VARCHAR) AS code, event_type FROM events
+    WHERE ts >= TIMESTAMP '2024-01-03 00:00:00' AND ts < TIMESTAMP '2024-01-10 12:00:01'
+        AND event_type IN ('click', 'view') AND regexp_matches(CAST(10000 + user_id AS VARCHAR), '[13]$')""")
+def explore_filtered(spark, d):
+    """One call finds the date-times kept as text, profiles, and filters; digit ids stay text."""
+    events = table(spark, d, "events").select(
+        "event_id",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("seen"),
+        (F.col("user_id") + 10000).cast("string").alias("code"),
+        "event_type",
+    )
+    bounds = (F.lit(t).cast("timestamp_ntz") for t in ("2024-01-03 00:00:00", "2024-01-10 12:00:00"))
+    profile, rows = explore.explore_table(
+        events,
+        [
+            explore.Between("seen", *bounds),
+            explore.In("event_type", ["click", "view"]),
+            explore.Matches("code", "[13]$"),
+        ],
+    )
+    kinds = {r["column"]: r["kind"] for r in profile.collect()}
+    if kinds["seen"] != "datetime" or kinds["code"] not in ("text", "categorical"):
+        raise AssertionError(kinds)
+    return rows
+
+
 @query(f"""WITH {APPS}
     SELECT id_app AS "Id_app", name AS "Name", publisher AS "Publisher",
         peak_ccu_yesterday AS "Peak CCU yesterday", owners_max AS "Owners (max)",
@@ -426,3 +457,11 @@ def display_names(spark, d):
 def freshness(spark, d):
     now = datetime(2024, 3, 1, 12, 34, 56)
     return explore.freshness(table(spark, d, "events"), F.lit(now).cast("timestamp_ntz"), "ts")
+
+
+@query("""SELECT min(ts) + INTERVAL 9 HOUR AS last_update FROM events""")
+def freshness_zone(spark, d):
+    """The load time as read on a clock nine hours ahead."""
+    events = table(spark, d, "events").select(F.col("ts").cast("timestamp_ntz").alias("ts"))
+    now = F.lit(datetime(2024, 3, 1)).cast("timestamp_ntz")
+    return explore.freshness(events, now, "ts", zone="Asia/Tokyo").select("last_update")

@@ -19,7 +19,8 @@ from cataloom.operators import ids, quality
 from cataloom.operators.normalize import normalize_list, normalize_map
 from cataloom.plans.transform import build_star as star_of
 from cataloom.plans.transform import clean_facts as facts_of
-from cataloom.plans.transform import parse_lists, spread
+from cataloom.plans.transform import spread
+from cataloom.schemas import RAW_DETAIL_COLUMNS
 from cataloom.showcase import query, roles, table
 from cataloom.showcase.roles import GENRES
 from cataloom.sources import landing
@@ -109,6 +110,7 @@ def _props(spark, d):
     events = table(spark, d, "events").select(
         "event_id", parse_weighted(F.col("props")).alias("props")
     )
+    events = materialize(events, "props")  # read twice below, so not parsed twice
     return normalize_map(events, "event_id", "props", "id_prop", "prop", "event_id")
 
 
@@ -174,15 +176,21 @@ def batch_progress(spark, d):
 # ---- cells ---------------------------------------------------------------------------
 
 
-@query("""SELECT p_partkey, nullif(p_brand, 'Brand#4') AS p_brand, p_retailprice FROM part
-    WHERE p_brand <> 'Brand#4' AND nullif(p_retailprice, 910) <= 990""")
+@query("""SELECT p_partkey AS id_app, p_brand AS name,
+        CAST(round((p_retailprice + 510) * 100) AS BIGINT) / CAST(100 AS DOUBLE) AS price_usd
+    FROM part WHERE p_brand <> 'Brand#4' AND nullif(p_retailprice, 910) <= 990""")
 def required_and_ceiling(spark, d):
+    cents = F.round((F.col("p_retailprice") + 510) * 100).cast("bigint").cast("string")
     part = table(spark, d, "part").select(
-        "p_partkey",
-        F.nullif("p_brand", F.lit("Brand#4")).alias("p_brand"),
-        F.nullif("p_retailprice", F.lit(910.0)).alias("p_retailprice"),
+        F.col("p_partkey").alias("row_seq"),
+        F.col("p_partkey").cast("string").alias("appid"),
+        F.when(F.col("p_brand") != "Brand#4", F.col("p_brand")).alias("name"),
+        F.lit("d").alias("developer"),
+        F.lit("p").alias("publisher"),
+        F.when(F.col("p_retailprice") != 910.0, cents).alias("price"),
     )
-    return part.dropna(subset=["p_brand"]).where(F.col("p_retailprice") <= 990.0)
+    raw = project(part, ["row_seq", *RAW_DETAIL_COLUMNS])
+    return facts_of(raw)[0].select("id_app", "name", "price_usd")
 
 
 @query("""SELECT doc_id, n_chars / CAST(100 AS DOUBLE) AS dollars,
@@ -375,7 +383,8 @@ def dq_report(spark, d):
 
 
 def raw_details(spark, d):
-    """Parts written as raw text records: null tokens, outliers, two rows per id."""
+    """Parts written as raw text records: null tokens, outliers, two rows per id, and by size
+    a price (11), a count (12), an id (13) and tags (8, 15, 16) that cannot be read."""
     size, brand = F.col("p_size"), F.col("p_brand")
     cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
     words = F.split("p_name", " ")
@@ -385,7 +394,10 @@ def raw_details(spark, d):
 
     return table(spark, d, "part").select(
         F.col("p_partkey").alias("row_seq"),
-        number(F.floor(F.col("p_partkey") / 2)).alias("appid"),
+        F.concat(
+            number(F.floor(F.col("p_partkey") / 2)),
+            F.when(size == 13, F.lit(".5")).when(size == 14, F.lit(".0")).otherwise(F.lit("")),
+        ).alias("appid"),
         F.when(F.col("p_name") == "old ring", F.lit("N/A"))
         .otherwise(F.col("p_name"))
         .alias("name"),
@@ -402,12 +414,18 @@ def raw_details(spark, d):
         number(size).alias("average_2weeks"),
         number(size * 11).alias("median_forever"),
         F.when(size > 20, number(size * 5)).otherwise(F.lit("null")).alias("median_2weeks"),
-        number(size * 9).alias("ccu"),
-        F.when(size == 50, number(cents * 2)).otherwise(number(cents)).alias("price"),
+        F.when(size == 12, F.lit("abc")).otherwise(number(size * 9)).alias("ccu"),
+        F.when(size == 11, F.lit("9,99"))
+        .when(size == 50, number(cents * 2))
+        .otherwise(number(cents))
+        .alias("price"),
         number(cents * 2).alias("initialprice"),
         number(size / 4).alias("discount"),
         F.when(size == 7, F.lit("[]"))
         .when(size == 8, F.lit("{'Score 50': 1}"))
+        .when(size == 15, F.lit("{'half': 2.5}"))
+        .when(size == 16, F.lit("{'more': 1} text"))
+        .when(size == 17, F.lit("[ ]"))
         .otherwise(
             F.concat(
                 F.lit("{'"), words[0], F.lit("': "), number(size),
@@ -424,9 +442,11 @@ def raw_details(spark, d):
     )
 
 
-_FACTS = """facts AS (SELECT * EXCLUDE (rn) FROM (
+def facts_sql(id_app: str, row_seq: str, unreadable: str) -> str:
+    """Facts of the raw records above, given the id and the order of a record."""
+    return f"""facts AS (SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY id_app ORDER BY row_seq) AS rn FROM (
-        SELECT p_partkey AS row_seq, p_partkey // 2 AS id_app, p_name AS name,
+        SELECT {row_seq} AS row_seq, {id_app} AS id_app, p_name AS name,
             p_brand AS developer, p_type AS publisher,
             CASE WHEN p_size <> 3 THEN CAST(p_size AS BIGINT) * 1000 END AS owners_min,
             CASE WHEN p_size <> 3 THEN CAST(p_size AS BIGINT) * 2000 END AS owners_max,
@@ -441,8 +461,13 @@ _FACTS = """facts AS (SELECT * EXCLUDE (rn) FROM (
             CAST(round(p_retailprice * 100) AS BIGINT) * 2 / CAST(100 AS DOUBLE)
                 AS initial_price_usd,
             p_size / CAST(4 AS DOUBLE) AS discount, p_size
-        FROM part WHERE p_name <> 'old ring' AND p_brand <> 'Brand#7')
+        FROM part WHERE p_name <> 'old ring' AND p_brand <> 'Brand#7'
+            AND coalesce(p_size, 0) NOT IN ({unreadable}))
     WHERE price_usd <= 1500) WHERE rn = 1)"""
+
+
+_FACTS = facts_sql("p_partkey // 2", "p_partkey", "11, 12, 13")
+NO_TAGS, BAD_TAGS = "(7, 17)", "(8, 15, 16)"
 _APP_COLUMNS = """id_app, name, developer, publisher, owners_min, owners_max,
         average_forever_hs, average_2weeks_hs, median_forever_hs, median_2weeks_hs,
         peak_ccu_yesterday, price_usd, initial_price_usd, discount"""
@@ -450,13 +475,19 @@ _APP_COLUMNS = """id_app, name, developer, publisher, owners_min, owners_max,
 
 @query(f"WITH {_FACTS} SELECT row_seq, {_APP_COLUMNS} FROM facts")
 def clean_facts(spark, d):
-    return facts_of(raw_details(spark, d)).drop("tags", "languages", "genre")
+    return facts_of(raw_details(spark, d))[0].drop("tags", "languages", "genre")
 
 
-@query(f"WITH {_FACTS} SELECT id_app FROM facts WHERE p_size = 8")
+@query(f"""WITH {_FACTS}
+    SELECT row_seq, CAST(id_app AS VARCHAR) AS appid, name, 'tags' AS reason FROM facts
+        WHERE p_size IN {BAD_TAGS}
+    UNION ALL SELECT p_partkey,
+        (p_partkey // 2) || CASE p_size WHEN 13 THEN '.5' ELSE '' END, p_name,
+        CASE p_size WHEN 11 THEN 'price' WHEN 12 THEN 'ccu' ELSE 'appid' END
+    FROM part WHERE p_name <> 'old ring' AND p_brand <> 'Brand#7' AND p_size IN (11, 12, 13)""")
 def rejected_facts(spark, d):
-    parsed = parse_lists(facts_of(raw_details(spark, d)))
-    return parsed.where("_bad").select("id_app")
+    """Rows set aside, each with the columns that cannot be read."""
+    return star_of(raw_details(spark, d))[1]
 
 
 @query("""SELECT event_id, (props <> '{"k": 69}') AS bad FROM events""")
@@ -481,59 +512,63 @@ def _star_part(labels_sql, dim_id, label, name):
 
 _WORD = "string_split(name, ' ')"
 _LANGUAGES_SQL = "['English', 'Spanish - ' || publisher, developer || ' x', 'Heew']"
-_STAR = f"""{_FACTS}, kept AS (SELECT * FROM facts WHERE p_size IS DISTINCT FROM 8),
+_TAGS_SQL = f"""CASE WHEN p_size NOT IN {NO_TAGS} THEN
+    [{_WORD}[1], {_WORD}[2], 'Shoot  Em Up'] ELSE [] END"""
+
+
+def star_sql(facts: str) -> str:
+    """WITH clauses of the seven clean tables made of the given facts."""
+    return f"""{facts}, kept AS (SELECT * FROM facts
+        WHERE p_size IS NULL OR p_size NOT IN {BAD_TAGS}),
     {_star_part(f"[{_WORD}[1], {_WORD}[2], '']", "id_genre", "genre", "genres")},
     {_star_part(_LANGUAGES_SQL, "id_language", "language", "languages")},
-    {_star_part(f"CASE WHEN p_size <> 7 THEN [{_WORD}[1], {_WORD}[2], 'Shoot  Em Up'] ELSE [] END",
-                "id_tag", "tag", "tags")}"""
-
-
-@query(f"""WITH {_STAR}
-    SELECT 'apps' AS table_name, count(*) AS num_rows,
-        CAST(sum(id_app) AS BIGINT) AS key_sum, CAST(sum(owners_max) AS BIGINT) AS value_sum
-        FROM kept
-    UNION ALL SELECT 'genres', count(*), CAST(sum(id_genre) AS BIGINT),
-        CAST(sum(length(genre) * (id_genre + 1)) AS BIGINT) FROM genres
-    UNION ALL SELECT 'languages', count(*), CAST(sum(id_language) AS BIGINT),
-        CAST(sum(length({sql_canonical('language', CANONICAL_LANGUAGES)}) * (id_language + 1))
-            AS BIGINT) FROM languages
-    UNION ALL SELECT 'tags', count(*), CAST(sum(id_tag) AS BIGINT),
-        CAST(sum(length(tag) * (id_tag + 1)) AS BIGINT) FROM tags
-    UNION ALL SELECT 'apps_genres', count(*), CAST(sum(id_genre) AS BIGINT),
-        CAST(sum(id_app * (id_genre + 1)) AS BIGINT) FROM genres_links JOIN genres USING (genre)
-    UNION ALL SELECT 'apps_languages', count(*), CAST(sum(id_language) AS BIGINT),
-        CAST(sum(id_app * (id_language + 1)) AS BIGINT)
+    {_star_part(_TAGS_SQL, "id_tag", "tag", "tags")}"""
+
+
+#: Rows of all seven clean tables, one under the other.
+STAR_ROWS = f"""SELECT 'apps' AS table_name, id_app AS "key", owners_max AS ref, name AS label,
+        price_usd AS amount FROM kept
+    UNION ALL SELECT 'genres', id_genre, NULL, nullif(genre, ''), NULL FROM genres
+    UNION ALL SELECT 'languages', id_language, NULL,
+        language || ' > ' || {sql_canonical('language', CANONICAL_LANGUAGES)}, NULL FROM languages
+    UNION ALL SELECT 'tags', id_tag, NULL, tag, NULL FROM tags
+    UNION ALL SELECT 'apps_genres', id_app, id_genre, NULL, NULL
+        FROM genres_links JOIN genres USING (genre)
+    UNION ALL SELECT 'apps_languages', id_app, id_language, NULL, NULL
         FROM languages_links JOIN languages USING (language)
-    UNION ALL SELECT 'apps_tags', count(*), CAST(sum(id_tag) AS BIGINT),
-        CAST(sum((id_tag + 1) * CASE WHEN tag = 'Shoot  Em Up' THEN 4
-            WHEN i = 1 THEN 2 ELSE p_size + 1 END) AS BIGINT)
-        FROM tags_links JOIN tags USING (tag) JOIN kept USING (id_app)""")
-def build_star(spark, d):
-    """Rows, key sums and value sums of the seven clean tables."""
-    tables, _ = star_of(raw_details(spark, d))
+    UNION ALL SELECT 'apps_tags', id_app, id_tag, NULL, CAST(CASE WHEN tag = 'Shoot  Em Up' THEN 4
+            WHEN i = 1 THEN 2 ELSE p_size + 1 END AS DOUBLE)
+        FROM tags_links JOIN tags USING (tag) JOIN kept USING (id_app)"""
 
-    def summary(name, key, value):
-        return tables[name].agg(
-            F.lit(name).alias("table_name"),
-            F.count("*").alias("num_rows"),
-            F.sum(key).alias("key_sum"),
-            F.sum(value).alias("value_sum"),
-        )
 
-    def named(key, label):
-        return F.coalesce(F.length(label), F.lit(0)) * (F.col(key) + 1)
+def star_rows(tables):
+    """The same of tables."""
 
-    def linked(key):
-        return F.col("id_app") * (F.col(key) + 1)
+    def rows(name, key, ref=None, label=None, amount=None):
+        none = F.lit(None)
+        return tables[name].select(
+            F.lit(name).alias("table_name"),
+            F.col(key).alias("key"),
+            (none if ref is None else F.col(ref)).cast("bigint").alias("ref"),
+            (none if label is None else label).cast("string").alias("label"),
+            (none if amount is None else F.col(amount)).cast("double").alias("amount"),
+        )
 
+    both = F.concat("language", F.lit(" > "), "normalized_language")
     return append_all(
         [
-            summary("apps", "id_app", "owners_max"),
-            summary("genres", "id_genre", named("id_genre", "genre")),
-            summary("languages", "id_language", named("id_language", "normalized_language")),
-            summary("tags", "id_tag", named("id_tag", "tag")),
-            summary("apps_genres", "id_genre", linked("id_genre")),
-            summary("apps_languages", "id_language", linked("id_language")),
-            summary("apps_tags", "id_tag", F.col("count") * (F.col("id_tag") + 1)),
+            rows("apps", "id_app", "owners_max", F.col("name"), "price_usd"),
+            rows("genres", "id_genre", label=F.col("genre")),
+            rows("languages", "id_language", label=both),
+            rows("tags", "id_tag", label=F.col("tag")),
+            rows("apps_genres", "id_app", "id_genre"),
+            rows("apps_languages", "id_app", "id_language"),
+            rows("apps_tags", "id_app", "id_tag", amount="count"),
         ]
     )
+
+
+@query(f"WITH {star_sql(_FACTS)} {STAR_ROWS}")
+def build_star(spark, d):
+    """Rows of the seven clean tables."""
+    return star_rows(star_of(raw_details(spark, d))[0])

@@ -16,8 +16,8 @@ LIST_ORDER = ("list_file", "list_block", "list_doc", "list_pos")
 def read_app_list(spark: SparkSession, path: str, one_document: bool = True) -> DataFrame:
     """One row per element of the nested list, with the columns of ``LIST_ORDER``.
 
-    ``one_document=False`` reads files with one list document per line; such files are
-    split among tasks, a file that is one document is not.
+    A file that is one document is read, whole, by one task; land a large list as one document
+    per line and set ``one_document=False``, so that tasks share it.
     """
     documents = (
         spark.read.schema(LANDED_LIST)
@@ -40,10 +40,14 @@ def drop_blank_names(apps: DataFrame) -> DataFrame:
     return apps.where(F.coalesce(strip(F.col("name")), F.lit("None")) != "")
 
 
-def work_list(apps: DataFrame, start: int = 0, size: int = BATCH_SIZE) -> DataFrame:
-    """Applications in list order with a gap-free row_seq and a batch number."""
-    ordered = dense_ids(apps, LIST_ORDER, "row_seq").drop(*LIST_ORDER)
-    return with_batch(ordered, "row_seq", start, size)
+def numbered_list(apps: DataFrame) -> DataFrame:
+    """All applications in list order with a gap-free row_seq."""
+    return dense_ids(apps, LIST_ORDER, "row_seq").drop(*LIST_ORDER)
+
+
+def work_list(numbered: DataFrame, start: int = 0, size: int = BATCH_SIZE) -> DataFrame:
+    """The applications to ask for, from position ``start`` on, with a batch number."""
+    return with_batch(numbered, "row_seq", start, size)
 
 
 # Order of landed records: file, split of the file, line in the split.
@@ -94,6 +98,11 @@ def failed_ids(apps: DataFrame, good: DataFrame, appid: str = "appid") -> DataFr
     return apps.join(good.select(appid).distinct(), appid, "left_anti")
 
 
+def unrequested(apps: DataFrame, good: DataFrame, appid: str = "appid") -> DataFrame:
+    """Usable detail records of applications that were not asked for."""
+    return good.join(apps.select(appid).distinct(), appid, "left_anti").select(*good.columns)
+
+
 def details_in_list_order(work: DataFrame, good: DataFrame) -> DataFrame:
     """Detail records of the requested applications, numbered as requested.
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from cataloom.schemas import CLEAN, load_order, writable
 from cataloom.sources.raw_csv import WRITE_OPTIONS, read_csv
+from cataloom.storage import materialize
 
 
 def project(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -124,9 +125,13 @@ def load_tables(
 ) -> dict[str, DataFrame]:
     """Full refresh of tables from staged directories; gives the rejected rows per table.
 
-    All tables are written to a new directory first; only then is each table pointed at
-    its new data, parents before children. A failure on the way leaves the old data in
-    place, and no reader meets an empty table.
+    All tables, and their rejected rows, are written to a new directory first; only then is
+    each table pointed at its new data, parents before children. A failure while writing, or a
+    table with other columns, leaves all old data in place. The tables are switched one after
+    the other, not in one step: a reader between two switches can join a new bridge to an old
+    dimension, whose ids differ, and a table whose bucket count changes is missing for a
+    moment. Readers that cannot wait for the refresh to end should be given a database of
+    their own per refresh.
 
     With ``buckets`` the facts and bridges are stored bucketed by application, so that
     joining them shuffles neither. One application's links then stay in one file; leave
@@ -135,8 +140,11 @@ def load_tables(
     version = f"{root}/{uuid.uuid4().hex}"
     rejected = {}
     for name in load_order(names):
-        good, rejected[name] = conform(read_staged(spark, staged, name, fmt), CLEAN[name])
+        _check_columns(spark, database, name)
+    for name in load_order(names):
+        good, bad = conform(read_staged(spark, staged, name, fmt), CLEAN[name])
         _write_version(good, f"{version}/{name}", database, buckets)
+        rejected[name] = materialize(bad, name, f"{version}/rejected/{name}")
     for name in load_order(names):
         _switch(spark, database, name, f"{version}/{name}", buckets)
     return rejected
@@ -168,6 +176,14 @@ def _bucket_count(spark: SparkSession, table: str) -> int:
     return int(row["data_type"]) if row else 0
 
 
+def _check_columns(spark: SparkSession, database: str, name: str) -> None:
+    """An existing table must have the columns that it is about to be given."""
+    if spark.catalog.tableExists(f"{database}.{name}"):
+        found = {(f.name, f.dataType) for f in spark.table(f"`{database}`.`{name}`").schema}
+        if found != {(f.name, f.dataType) for f in CLEAN[name]}:
+            raise ValueError(f"table {database}.{name} has other columns than {name}")
+
+
 def _switch(spark: SparkSession, database: str, name: str, path: str, buckets: int) -> None:
     """Point a table at a finished directory."""
     table = f"`{database}`.`{name}`"

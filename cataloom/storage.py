@@ -12,13 +12,19 @@ _local_dirs: dict = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it then gets one temporary folder.
+    Only a local session may go without the setting; it then gets one temporary folder. On a
+    cluster the setting needs a scheme: a bare path would go to whatever file system is the
+    default, which may be each machine's own. ``file:`` is taken at its word as a mount that
+    all machines share.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
     context = spark.sparkContext
-    if not re.match(r"local(\[|$)", context.master):
+    local = re.match(r"local(\[|$)", context.master)
+    if configured and (local or re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", configured)):
+        return configured.rstrip("/")
+    if configured:
+        raise RuntimeError(f"spark.checkpoint.dir needs a scheme, it is {configured}")
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = context.applicationId
     if app not in _local_dirs:

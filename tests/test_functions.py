@@ -43,8 +43,9 @@ def test_cents(spark):
 
 
 def test_to_long(spark):
-    texts = ["12", "12.0", "9007199254740993", "['999']", "", None]
-    assert values(spark, texts, C.to_long) == [12, 12, 9007199254740993, None, None, None]
+    texts = ["12", "12.0", "9007199254740993.0", " -7. ", "+3", "['999']", "12.7", "1e3", "9" * 20, "", None]
+    expected = [12, 12, 9007199254740993, -7, 3, None, None, None, None, None, None]
+    assert values(spark, texts, C.to_long) == expected
 
 
 def test_split_trim(spark):
@@ -85,6 +86,7 @@ TAGS = {
     """{"a": 1, "b": 3, "a": 2}""": [("a", 2), ("b", 3)],
     """{'One': 1}""": [("One", 1)],
     "{}": [],
+    """{"b": 1, "a": 2, "b": 3, "c": 4, "a": null, "b": 5}""": [("b", 5), ("a", None), ("c", 4)],
     """{'a': '7', 'b': 2.0, 'c': null}""": [("a", 7), ("b", 2), ("c", None)],
 }
 
@@ -100,7 +102,8 @@ def test_weighted_entries(spark):
     "text,bad",
     [(None, False), ("", False), ("[]", False), (" [] ", False), ("{}", False),
      ("{'Score 50': 1}", True), ("bad", True), ("{'a': 1}", False),
-     ('{"a": "x"}', True), ('{"a": {"b": 1}}', True), ('{"a": 1', True), ("[1]", True)],
+     ("[ ]", False), ("\n", False), ("\u3000", False), ('{"a": 1} x', True),
+     ('{"a": 1},{"b": 2}', True), ('{"a": 2.9}', True), ('{"a": "x"}', True), ('{"a": {"b": 1}}', True), ('{"a": 1', True), ("[1]", True)],
 )
 def test_weighted_outcome(spark, text, bad):
     found = values(spark, [text], lambda x: C.weighted_is_bad(x, C.parse_weighted(x)))

@@ -5,6 +5,7 @@ import json
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import types as T
 
 from cataloom import storage
 from cataloom.operators import explore
@@ -15,7 +16,7 @@ from cataloom.plans.run import run
 from cataloom.plans.transform import build_star, clean_facts
 from cataloom.schemas import CLEAN, RAW_DETAIL_COLUMNS
 from cataloom.sources import landing, tables
-from cataloom.sources.raw_csv import read_raw_csv
+from cataloom.sources.raw_csv import read_csv, read_raw_csv, split_raw_csv
 from cataloom.streaming.ingest import ingest_stream, ingested, ingested_details
 
 BASE = {
@@ -62,7 +63,9 @@ def raw_csv(tmp_path):
 def test_clean_facts(spark, raw_csv):
     for partitions in (1, 5):
         raw = read_raw_csv(spark, raw_csv).repartition(partitions)
-        found = {r["id_app"]: r for r in clean_facts(raw).collect()}
+        facts, rejected = clean_facts(raw)
+        found = {r["id_app"]: r for r in facts.collect()}
+        assert [(r["appid"], r["reason"]) for r in rejected.collect()] == []
         assert sorted(found) == [1, 3, 6, 7, 8, 9, 10]
         assert found[6]["name"] == "second"
         assert found[3]["price_usd"] == 1500.0 and found[3]["name"] == "None"
@@ -78,7 +81,7 @@ def test_clean_facts(spark, raw_csv):
 def test_build_star(spark, raw_csv, tmp_path, rows):
     out = str(tmp_path / "clean")
     star, rejected = build_star(read_raw_csv(spark, raw_csv), out)
-    assert [r["id_app"] for r in rejected.collect()] == [9]
+    assert [(r["appid"], r["reason"]) for r in rejected.collect()] == [("9", "tags")]
     assert star["apps"].columns == CLEAN["apps"].names
     assert rows(star["genres"]) == [(0, "Action"), (1, "A"), (2, None), (3, "B")]
     assert rows(star["apps_genres"]) == [
@@ -126,7 +129,7 @@ def test_several_csv_files_keep_their_order(spark, tmp_path):
             )
     raw = read_raw_csv(spark, str(tmp_path))
     assert raw.select("row_seq").distinct().count() == 3 * 3 + 40 * 3
-    assert clean_facts(raw).first()["name"] == "0.0"
+    assert clean_facts(raw)[0].first()["name"] == "0.0"
 
 
 @pytest.fixture
@@ -151,13 +154,15 @@ def landed(tmp_path):
 
 def test_extract(spark, landed, tmp_path, rows):
     raw = extract(spark, *landed, str(tmp_path / "raw"), batch_size=2)
-    work = [(r["row_seq"], r["appid"], r["batch_id"]) for r in raw["app_list"].collect()]
-    assert sorted(work) == [(0, 5, 0), (1, 3, 0), (2, 9, 1), (3, 7, 1), (4, 4, 2), (5, 8, 2)]
+    listed = [(r["row_seq"], r["appid"]) for r in raw["app_list"].collect()]
+    assert sorted(listed) == [(0, 5), (1, 3), (2, 9), (3, 7), (4, 4), (5, 8)]
     details = raw["app_details"].orderBy("row_seq").collect()
-    assert [(r["row_seq"], r["appid"]) for r in details] == [(0, "5"), (1, "3"), (3, "7")]
+    found = [(r["row_seq"], r["batch_id"], r["appid"]) for r in details]
+    assert found == [(0, 0, "5"), (1, 0, "3"), (3, 1, "7")]
     assert raw["app_details"].columns == ["row_seq", "batch_id", *RAW_DETAIL_COLUMNS]
     assert rows(raw["failed_ids"].select("appid")) == [(4,), (8,), (9,)]
     assert raw["rejected"].count() == 2
+    assert raw["unrequested"].count() == 0
 
 
 def test_first_landed_record_answers(spark, landed, tmp_path):
@@ -174,15 +179,33 @@ def test_first_landed_record_answers(spark, landed, tmp_path):
 
 def test_extract_from_a_start_index(spark, landed, tmp_path):
     raw = extract(spark, *landed, str(tmp_path / "raw"), start=3, batch_size=2)
-    work = [(r["row_seq"], r["appid"], r["batch_id"]) for r in raw["app_list"].collect()]
-    assert sorted(work) == [(3, 7, 0), (4, 4, 0), (5, 8, 1)]
+    assert raw["app_list"].count() == 6  # the whole list, whatever the start is
+    assert [(r["row_seq"], r["appid"]) for r in raw["app_details"].collect()] == [(3, "7")]
+    asked = [(r["row_seq"], r["appid"], r["batch_id"]) for r in raw["failed_ids"].collect()]
+    assert sorted(asked) == [(4, 4, 0), (5, 8, 1)]
+    assert sorted(r["appid"] for r in raw["unrequested"].collect()) == [3, 5]
+    past = extract(spark, *landed, str(tmp_path / "raw"), start=6)
+    assert past["app_list"].count() == 6 and past["failed_ids"].count() == 0
+    assert past["unrequested"].count() == 3
 
 
 def test_extract_stops_without_applications(spark, landed, tmp_path):
     (tmp_path / "empty").mkdir()
     (tmp_path / "empty/apps.json").write_text('{"applist": {"apps": []}}')
+    raw = str(tmp_path / "raw")
+    extract(spark, *landed, raw)
     with pytest.raises(ValueError):
-        extract(spark, str(tmp_path / "empty"), landed[1], str(tmp_path / "raw"))
+        extract(spark, str(tmp_path / "empty"), landed[1], raw)
+    assert spark.read.parquet(f"{raw}/app_list").count() == 6  # the good list is still there
+
+
+def test_reports_stay_when_a_run_is_repeated(spark, landed, tmp_path, rows):
+    raw = str(tmp_path / "raw")
+    first = extract(spark, *landed, raw)
+    before = {n: rows(first[n]) for n in ("rejected", "failed_ids", "unrequested")}
+    (tmp_path / "details/a.json").write_text(json.dumps(record("3")))
+    extract(spark, *landed, raw)
+    assert {n: rows(first[n]) for n in before} == before
 
 
 def test_blank_names(spark, rows):
@@ -227,6 +250,14 @@ def test_failed_load_keeps_old_tables(spark, landed, tmp_path):
     assert spark.table("kept.apps").count() == 3
 
 
+def test_a_table_with_other_columns_is_not_touched(spark, landed, tmp_path):
+    spark.sql("CREATE DATABASE other")
+    spark.sql("CREATE TABLE other.genres (id_genre bigint, label string) USING parquet")
+    with pytest.raises(ValueError, match="other columns"):
+        run(spark, *landed, str(tmp_path / "base"), database="other")
+    assert explore.table_names(spark, "other") == ["genres"]
+
+
 def test_load_order():
     order = tables.load_order(CLEAN)
     assert set(order[:4]) == {"apps", "genres", "languages", "tags"}
@@ -246,6 +277,52 @@ def test_csv_round_trip(spark, tmp_path, rows):
     assert rows(tables.read_csv(spark, path, df.schema)) == sorted(cells, key=repr)
 
 
+def test_csv_by_header_name(spark, tmp_path, rows):
+    text = 'name,appid,more\n"a ""q"", b",1,x\nshort,2\nlong,3,x,y\n"two\nlines",4,z\n'
+    (tmp_path / "a.csv").write_text(text)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("appid", "name")])
+    more = T.StructType([*schema, T.StructField("price", T.StringType())])
+    good, rejected = split_raw_csv(spark, str(tmp_path), schema)
+    expected = [("1", 'a "q", b'), ("4", "two\nlines")]
+    assert rows(good.select("appid", "name")) == expected and good.count() == 2
+    assert rows(rejected.select("_corrupt")) == [("long,3,x,y",), ("short,2",)]
+    assert rejected.count() == 2 and rows(good.select("appid")) == [("1",), ("4",)]
+    with pytest.raises(ValueError, match="price"):
+        read_csv(spark, str(tmp_path), more)
+    (tmp_path / "b.csv").write_text("appid,name,more\n9,b,x\n")
+    with pytest.raises(Exception, match="b.csv"):
+        read_csv(spark, str(tmp_path), schema).collect()
+
+
+UNREADABLE = [
+    ({"appid": "x3"}, "appid"), ({"appid": "4.5"}, "appid"), ({"appid": ""}, "appid"),
+    ({"price": "9,99"}, "price"), ({"ccu": "abc"}, "ccu"), ({"ccu": "12.7"}, "ccu"),
+    ({"discount": "half"}, "discount"), ({"average_2weeks": "?"}, "average_2weeks"),
+    ({"initialprice": "x", "ccu": "y"}, "ccu,initialprice"),
+    ({"tags": "{'a': 2.9}"}, "tags"), ({"tags": "{'a': 1} x"}, "tags"),
+]
+READABLE = [
+    {"appid": "4.0"}, {"appid": " 9007199254740993 "}, {"price": None}, {"ccu": ""},
+    {"tags": "[ ]"}, {"tags": "\n"}, {"owners": "x"}, {"price": "150001"},
+]
+
+
+def test_unreadable_cells_reject_the_row(spark):
+    data = [{**record(str(100 + i)), **cells} for i, (cells, _) in enumerate(UNREADABLE)]
+    data += [{**record(str(200 + i)), **cells} for i, cells in enumerate(READABLE)]
+    data.append({**record("x"), "name": None})  # a required field is missing: no report
+    schema = ", ".join(f"{c} string" for c in RAW_DETAIL_COLUMNS)
+    raw = spark.createDataFrame(
+        [(i, *[r[c] for c in RAW_DETAIL_COLUMNS]) for i, r in enumerate(data)],
+        f"row_seq bigint, {schema}",
+    )
+    star, rejected = build_star(raw)
+    reasons = {r["row_seq"]: r["reason"] for r in rejected.collect()}
+    assert reasons == {i: reason for i, (_, reason) in enumerate(UNREADABLE)}
+    kept = {r["id_app"] for r in star["apps"].collect()}
+    assert kept == {4, 9007199254740993, 203, 204, 205, 206}
+
+
 def test_append_batches(spark, tmp_path, rows):
     path, fields = str(tmp_path / "out"), ("a", "b")
     for _ in range(2):
@@ -283,7 +360,7 @@ def test_stream_restart_adds_nothing(spark, tmp_path, rows):
 
 
 def test_no_python_in_the_star_plan(spark, raw_csv):
-    plan = clean_facts(read_raw_csv(spark, raw_csv))._jdf.queryExecution().toString()
+    plan = clean_facts(read_raw_csv(spark, raw_csv))[0]._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan
 
 
@@ -360,12 +437,8 @@ def test_shared_folder_is_the_session_setting(spark):
 class FakeSession:
     """A session without the setting, local or on a cluster."""
 
-    class conf:  # noqa: N801
-        @staticmethod
-        def get(key, default):
-            return default
-
-    def __init__(self, master):
+    def __init__(self, master, folder=None):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder or default)})
         self.sparkContext = type("Context", (), {"master": master, "applicationId": master})
 
 
@@ -375,3 +448,8 @@ def test_no_machine_local_folder_on_a_cluster():
     for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
         with pytest.raises(RuntimeError):
             storage.shared_dir(FakeSession(master))
+        with pytest.raises(RuntimeError):
+            storage.shared_dir(FakeSession(master, "/tmp/any"))
+        for folder in ("hdfs://name/tmp", "file:/shared", "s3a://bucket/tmp/"):
+            assert storage.shared_dir(FakeSession(master, folder)) == folder.rstrip("/")
+    assert storage.shared_dir(FakeSession("local[2]", "/tmp/any")) == "/tmp/any"
