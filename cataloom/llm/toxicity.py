@@ -59,7 +59,8 @@ _SPANS = ((0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 2, 4))
 class Settings:
     texts: int = 8000  # most labelled texts to learn from
     landmarks: int = 48  # at most 63
-    evidence: float = 30.0  # least log-likelihood ratio of a landmark
+    evidence: float = 12.0  # least log-likelihood ratio of a landmark
+    share: float = 0.05  # and least share of the best landmark's
     decay: float = 0.75
     slack: int = 3
     least: float = 0.7
@@ -310,6 +311,8 @@ def choose_landmarks(
     taken: list[bytes] = []
     for r in counted:
         word = bytes(r["word"])
+        if r["ratio"] < settings.share * counted[0]["ratio"]:
+            break
         if len(taken) < settings.landmarks and not any(
             word.startswith(t) or t.startswith(word) for t in taken
         ):
