@@ -256,6 +256,8 @@ def predict(
     # A kept text goes to the task once.
     extra = [] if text_col in kept else [F.col(text_col).alias("__text")]
     source = docs.select(*(F.col(f"`{c}`") for c in kept), *extra)
+    # By number, as names with dots do not pass.
+    source = source.toDF(*(f"c{i}" for i in range(len(source.columns))))
     result = T.StructType([*source.schema.fields[: len(kept)], *added.fields])
     text_at = len(kept) if extra else kept.index(text_col)
 
@@ -285,4 +287,4 @@ def predict(
                 names=result.names,
             )
 
-    return source.mapInArrow(run, result)
+    return source.mapInArrow(run, result).toDF(*kept, *added.names)

@@ -49,8 +49,11 @@ def hadamard(rows: np.ndarray) -> np.ndarray:
 
 
 def rotated(rows: np.ndarray, seed: int) -> np.ndarray:
-    """Random rotation: three rounds of random signs and a Hadamard transform, padded with 0."""
-    width = 1 << max(0, rows.shape[1] - 1).bit_length()
+    """Random rotation: three rounds of random signs and a Hadamard transform, padded with 0.
+
+    In few dimensions such rounds give few different rotations, so there are 64 at least.
+    """
+    width = max(64, 1 << max(0, rows.shape[1] - 1).bit_length())
     signs = np.random.default_rng(seed)
     out = np.zeros((len(rows), width))
     out[:, : rows.shape[1]] = rows

@@ -1,0 +1,153 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from cataloom.llm import bpe, packing
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+REFERENCE = Tokenizer.from_file(PATH)
+DOCS = "doc_id bigint, text string, id string, ids string, piece int, text_ string"
+
+
+def ids_of(text):
+    return REFERENCE.encode(text or "", add_special_tokens=False).ids
+
+
+TEXTS = [
+    None,
+    "",
+    " ",
+    "plain words, 123 and 'quotes' it's",
+    "a<|endoftext|>b <|endof text|>",
+    "ünïcödé \U0001f600 日本語\r\n\n  x",
+    "x" * 9000,
+    "word " * 6000,
+    "<|endoftext|>" * 900,
+    "no-spaces-" * 2000 + "é" * 3000,
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "a", "b", 1, "c") for i, t in enumerate(TEXTS)]
+    rows += [(3, TEXTS[3], "a", "b", 1, "c"), (7, TEXTS[7], "a", "b", 1, "c")]
+    rows += [(None, "no id", None, None, None, None), (None, TEXTS[6], "a", "b", 1, "c")]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_pieces_joined_are_the_whole_encoding():
+    rnd = random.Random(5)
+    parts = [" ", "  ", "'", "s", "re", " ab", "\n", "1", "é", "\U0001f600", "!", "''", "aab"]
+    parts += ["<|endoftext|>", "<|end", " the", "x" * 9, "日本"]
+    tool = bpe.codec(PATH)
+    for _ in range(1500):
+        some = rnd.sample(parts, rnd.choice([2, 4, 12]))
+        text = "".join(rnd.choice(some) for _ in range(rnd.randint(0, 100)))
+        cuts = tool.cuts(text, rnd.choice([5, 16, 40]))
+        ends = [*cuts[1:], len(text)]
+        pieces = [tool.encode(text[a:b]) for a, b in zip(cuts, ends, strict=True)]
+        assert tool.join_all(pieces).tolist() == ids_of(text)
+        assert tool.decode(np.array(ids_of(text), "<u4")) == REFERENCE.decode(
+            ids_of(text), skip_special_tokens=False
+        )
+
+
+def test_encode_whole_texts(docs, rows):
+    found = rows(bpe.encode(docs, PATH, piece_chars=1000))
+    expected = []
+    for r in docs.collect():
+        ids = ids_of(r["text"])
+        expected.append((r["doc_id"], bytearray(np.array(ids, "<u4").tobytes()), len(ids)))
+    assert found == sorted(expected, key=repr)
+
+
+def test_decode_is_the_way_back(docs, rows):
+    back = bpe.decode(bpe.encode(docs, PATH, piece_chars=1000), PATH)
+    assert rows(back) == sorted([(r["doc_id"], r["text"] or "") for r in docs.collect()], key=repr)
+
+
+def test_digests(docs):
+    found = bpe.encode(docs, PATH, row=bpe.digest_row, columns=bpe.DIGEST).collect()
+    by_id = {r["doc_id"]: r for r in found if r["doc_id"] is not None}
+    for i, text in enumerate(TEXTS):
+        ids = np.array(ids_of(text), "<u4")
+        assert by_id[i]["n_tokens"] == len(ids)
+        assert by_id[i]["ids_sha256"] == hashlib.sha256(ids.tobytes()).hexdigest()
+        assert by_id[i]["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id bigint, text string")
+    assert bpe.encode(none, PATH).count() == 0
+    assert packing.pack_documents(none, PATH).count() == 0
+
+
+def check_packed(found, capacity):
+    used = {}
+    for r in sorted(found, key=lambda r: (r["sequence_id"], r["offset"])):
+        tokens, documents, cost = used.get(r["sequence_id"], (0, 0, 0))
+        assert r["offset"] == tokens
+        used[r["sequence_id"]] = tokens + r["length"], documents + 1, cost + r["length"] ** 2
+    for tokens, documents, cost in used.values():
+        assert tokens <= capacity.tokens
+        assert documents <= capacity.documents
+        assert cost <= capacity.cost
+    return len(used)
+
+
+def test_documents_are_cut_and_packed(docs):
+    capacity = packing.Capacity(tokens=64)
+    found = packing.pack_documents(docs, PATH, capacity=capacity, keep_ids=True)
+    rows = found.collect()
+    check_packed(rows, capacity)
+    assert sum(r["length"] for r in rows) == sum(
+        len(ids_of(r["text"])) + 1 for r in docs.collect()
+    )
+    for i, text in enumerate(TEXTS):
+        ids = np.array([*ids_of(text), 0], "<u4")
+        own = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["start"])
+        for r in own:
+            part = ids[r["start"] : r["start"] + r["length"]].tobytes()
+            assert r["ids_crc32"] == zlib.crc32(part) and bytes(r["ids"]) == part
+            assert r["start"] == 0 or r["length"] == 64
+        assert {r["piece"] for r in own} == set(range(-(-len(ids) // 64)))
+    whole = {r["sequence_id"]: r for r in packing.sequences(found).collect()}
+    assert sum(len(r["ids"]) // 4 for r in whole.values()) == sum(r["length"] for r in rows)
+    for r in rows:
+        begin = 4 * r["offset"]
+        assert bytes(whole[r["sequence_id"]]["ids"][begin : begin + 4 * r["length"]]) == bytes(r["ids"])
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("documents", [1, 3, 1000])
+def test_every_capacity_holds(spark, rule, documents):
+    random_ = np.random.default_rng(1)
+    lengths = [int(x) for x in random_.integers(1, 101, 3000)] + [100] * 500 + [7] * 900
+    pieces = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id int, length bigint")
+    capacity = packing.Capacity(100, documents, 5000, (1.0, 0.5, 0.2), rule)
+    if max(lengths) ** 2 > capacity.cost:
+        pieces = pieces.where("length <= 70")
+    found = packing.pack(pieces, ["doc_id"], capacity).collect()
+    assert len(found) == pieces.count()
+    check_packed(found, capacity)
+
+
+def test_few_sequences():
+    random_ = np.random.default_rng(2)
+    lengths = random_.integers(1, 2049, 20000)
+    counts = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True))
+    steps = packing.plan(counts, packing.Capacity())
+    assert steps[:, 2].max() + 1 <= 1.02 * -(-lengths.sum() // 2048)
+
+
+def test_impossible_pieces_are_refused():
+    for length in (0, 2049):
+        with pytest.raises(ValueError):
+            packing.plan({length: 1}, packing.Capacity())
+    with pytest.raises(ValueError):
+        packing.plan({1: 1}, packing.Capacity(rule="other"))
