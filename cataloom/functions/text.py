@@ -25,7 +25,10 @@ def remove_fragments(text: Column, fragments=LABEL_REMOVALS) -> Column:
 
 def split_trim(text: Column, separator: str = ",") -> Column:
     """Array of the stripped parts of a separated list."""
-    return F.transform(F.split(text, F.lit(f"\\Q{separator}\\E")), strip)
+    # A lone character without a meaning in patterns is split on without a pattern.
+    plain = len(separator) == 1 and separator not in "\\^$.|?*+()[]{}"
+    pattern = separator if plain else f"\\Q{separator}\\E"
+    return F.transform(F.split(text, F.lit(pattern)), strip)
 
 
 def clean_labels(text: Column, fragments=LABEL_REMOVALS) -> Column:

@@ -43,17 +43,27 @@ def _kind(data_type: T.DataType) -> str:
     return "text"
 
 
-def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+def profile(
+    df: DataFrame, columns: Sequence[str] | None = None, exact: bool | str = True
+) -> DataFrame:
     """One row per column: filter kind, distinct values (nulls not counted), bounds, step.
 
     Exact counts are taken column by column: each reads one column of the stored table and
     shuffles its distinct values only, where one aggregate would copy every row per column.
     ``exact=False`` estimates the counts, all columns in one pass without a shuffle of values.
+    ``exact="kind"`` estimates first and counts exactly where the estimate leaves open whether
+    a column is categorical, so kinds are right and wide tables cost about one pass.
     """
     columns = list(columns or df.columns)
-    if not exact:
+    if exact is False:
         return _profile(df, columns, F.approx_count_distinct)
-    parts = [_profile(df.select(f"`{c}`").distinct(), [c], F.count) for c in columns]
+    parts = []
+    if exact == "kind":
+        estimate = _profile(df, columns, F.approx_count_distinct)
+        counts = {r["column"]: r["n_distinct"] for r in estimate.collect()}
+        columns = [c for c in columns if counts[c] < 2 * CATEGORICAL_BELOW]
+        parts.append(estimate.where(~F.col("column").isin(columns)) if columns else estimate)
+    parts += [_profile(df.select(f"`{c}`").distinct(), [c], F.count) for c in columns]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -166,7 +176,7 @@ def cast_datetimes(df: DataFrame) -> DataFrame:
 
 
 def explore_table(
-    df: DataFrame, specs: Sequence[In | Between | Matches] = (), exact: bool = True
+    df: DataFrame, specs: Sequence[In | Between | Matches] = (), exact: bool | str = "kind"
 ) -> tuple[DataFrame, DataFrame]:
     """(profile that says which filter each column takes, rows that pass the chosen filters).
 

@@ -11,15 +11,23 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def normalize_list(
-    df: DataFrame, id_col: str, list_col: str, dim_id: str, label: str, order_col: str
+    df: DataFrame,
+    id_col: str,
+    list_col: str,
+    dim_id: str,
+    label: str,
+    order_col: str,
+    stripped: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Split a list column off: (fact without it, dimension, bridge).
 
     Dimension ids follow the first appearance of a label in the order of ``order_col``
     (unique per row) and, in a row, list position. The bridge keeps repeats.
-    The list is read twice, so give a stored table, not a costly plan.
+    The list is read twice, so give a stored table, not a costly plan. ``stripped`` says that
+    its labels have no white space around them already.
     """
-    labels = F.filter(F.transform(F.col(list_col), strip), lambda x: x != "nan")
+    entries = F.col(list_col) if stripped else F.transform(F.col(list_col), strip)
+    labels = F.filter(entries, lambda x: x != "nan")
     dim, links = _split_off(
         df, labels, labels, lambda x: x, {}, id_col, dim_id, label, order_col
     )

@@ -115,10 +115,10 @@ def build_star(
     rejected = materialize(unreadable.unionByName(broken), "rejected_facts")
 
     facts, genres, apps_genres = normalize_list(
-        facts, "id_app", "genre", "id_genre", "genre", order_col
+        facts, "id_app", "genre", "id_genre", "genre", order_col, stripped=True
     )
     facts, languages, apps_languages = normalize_list(
-        facts, "id_app", "languages", "id_language", "language", order_col
+        facts, "id_app", "languages", "id_language", "language", order_col, stripped=True
     )
     facts, tags, apps_tags = normalize_map(facts, "id_app", "tags", "id_tag", "tag", order_col)
     languages = languages.withColumn("normalized_language", canonical_label(F.col("language")))

@@ -352,6 +352,13 @@ def profile_columns(spark, d):
     return _rounded(explore.profile(table(spark, d, "events")), "step")
 
 
+@query(f"""SELECT "column", kind, "min", "max" FROM ({_profile_sql()})""")
+def profile_kinds(spark, d):
+    """Estimated counts, exact where the kind depends on them."""
+    found = explore.profile(table(spark, d, "events"), exact="kind")
+    return found.select("column", "kind", "min", "max")
+
+
 @query("""SELECT DISTINCT nullif(event_type, 'error') AS event_type FROM events""")
 def category_values(spark, d):
     events = table(spark, d, "events")

@@ -82,7 +82,7 @@ def _phrases(spark, d):
     )
 
 
-_PHRASE_KEYS = ("doc_id", "phrases", "id_phrase", "phrase", "doc_id")
+_PHRASE_KEYS = ("doc_id", "phrases", "id_phrase", "phrase", "doc_id", True)
 
 
 @query(f"""WITH {_PHRASES}

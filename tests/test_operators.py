@@ -361,7 +361,7 @@ def test_profile(spark):
         F.col("id").cast("string").alias("text"),
         F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("at"),
     )
-    for exact in (True, False):
+    for exact in (True, False, "kind"):
         found = {r["column"]: r for r in explore.profile(df, exact=exact).collect()}
         kinds = {c: r["kind"] for c, r in found.items()}
         assert kinds == {
