@@ -16,6 +16,7 @@ from cataloom.llm import (
     near_vectors,
     neighbours,
     packing,
+    reachable,
     toxicity,
     warc,
     wrapper,
@@ -32,6 +33,7 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

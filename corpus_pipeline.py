@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cataloom.llm import jaccard, langid, packing, toxicity
+from cataloom.llm import jaccard, langid, packing, reachable, toxicity
 from cataloom.operators.sizes import broadcast_if_small
 from cataloom.storage import materialize
 
@@ -31,12 +31,14 @@ def numbered(docs: DataFrame) -> DataFrame:
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that language identification rejects: without letters, or far from all
     languages learned."""
+    reachable(spark)
     found = langid.predict(numbered(docs), langid.fit(docs), text_col=place(docs, "text"))
     return found.where("not rejected").drop(*RESULTS).toDF(*docs.columns)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents predicted as toxic by what the labelled ones among them teach."""
+    reachable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels)
     scored = toxicity.score(numbered(docs), model, text_col=place(docs, "text"))
@@ -48,6 +50,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat a doc_id count as one document; those without one all stay.
     """
+    reachable(spark)
     groups = jaccard.join(docs.select("doc_id", "text"))
     gone = materialize(groups.where("doc_id <> component_id").select("doc_id"), "repeats")
     return docs.join(broadcast_if_small(gone), "doc_id", "left_anti")
@@ -55,6 +58,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the ids of all documents into sequences of at most 2048 tokens."""
+    reachable(spark)
     return packing.pack_documents(docs, VOCABULARY)
 
 
