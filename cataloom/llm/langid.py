@@ -41,7 +41,7 @@ class Settings:
     #: Share of training texts that may be further from their centroid than the limit is
     #: set from, and how much less than their cosine still counts as near.
     outliers: float = 0.005
-    slack: float = 0.4
+    slack: float = 0.25
 
 
 @dataclass(frozen=True)
