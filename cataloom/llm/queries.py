@@ -71,6 +71,31 @@ def op9_combination_jaccard(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.join(table(spark, d, "documents"))
 
 
+ORACLES["op9_combination_jaccard"] = r"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w FROM documents),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM texts),
+    sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+    items AS (SELECT doc_id, unnest(s) AS x FROM sets),
+    shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+        FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * k >= 75 * (x.n + y.n - k)),
+    reached(origin, node) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION
+        SELECT r.origin, l.b FROM reached r JOIN links l ON l.a = r.node),
+    least AS (SELECT origin, min(node) AS component_id FROM reached GROUP BY origin)
+    SELECT doc_id, n AS n_shingles, component_id FROM sizes JOIN least ON origin = doc_id"""
+
+
 @query
 def op8_seekable_warc(spark: SparkSession, d: str) -> DataFrame:
     back = warc.archive(table(spark, d, "pages"), payloads=False)
