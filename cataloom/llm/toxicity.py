@@ -39,6 +39,7 @@ WIDTH = 24  # longer words are taken in overlapping stretches
 BEGIN, END = b"^^", b"$"  # a begin counts twice: word beginnings are what a stem has
 SHARED = 4  # subsequences that a word and a landmark must share to be compared
 SLICE, SLICE_BYTES = 2048, 8 << 20  # texts whose distinct words are compared at once
+COUNTED = 200_000  # strings counted before the counts are sent on
 PER_WORDS = 50  # a sum over words counts as if a text had this many
 _DROP = bytes(b for b in range(128) if not (97 <= b <= 122 or b in b" \t\n\r\f\v"))
 _SPACED = re.compile(r"(?:(?<![^\W\d_])[^\W\d_][\W\d_]{1,3}){3,}[^\W\d_](?![^\W\d_])")
@@ -274,12 +275,18 @@ def choose_landmarks(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = Counter(), Counter()
         for batch in batches:
-            for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = words(text)
+            for text, label in zip(*batch.columns, strict=True):
+                if len(seen[0]) + len(seen[1]) > COUNTED:
+                    yield counts(seen)
+                    seen = Counter(), Counter()
+                own, label = words(text.as_py()), label.as_py()
                 framed = [BEGIN + w + END for w in own if 4 <= len(w) <= WIDTH - 3]
                 seen[label].update({w[:n] for w in framed for n in range(6, 10)} | {*framed})
+        yield counts(seen)
+
+    def counts(seen: tuple[Counter, Counter]) -> pa.RecordBatch:
         strings = sorted(seen[1])
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [
                 pa.array([*strings, *seen[0]], pa.binary()),
                 pa.array([seen[1][s] for s in strings] + [0] * len(seen[0]), pa.int64()),
