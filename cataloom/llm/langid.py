@@ -249,7 +249,8 @@ def predict(
     """The ``keep`` columns of ``docs`` (all) besides ``lang_pred``, ``score`` (the cosine) and
     ``rejected``; columns that already have these names are replaced.
 
-    Ties go to the language first in the alphabet.
+    Ties go to the language first in the alphabet. Without a model the language is unknown, and
+    only documents without letters are rejected.
     """
     added = T.StructType.fromDDL("lang_pred string, score double, rejected boolean")
     kept = [c for c in keep or docs.columns if c not in added.names]
@@ -267,8 +268,9 @@ def predict(
             found = []
             for value in batch.column(text_at).cast(pa.binary()):
                 text = value.as_py() or b""
-                if not tool or not has_letter(text):
-                    found.append((UNKNOWN, 0.0, True))
+                letters = has_letter(text)
+                if not tool or not letters:
+                    found.append((UNKNOWN, 0.0, not letters))
                     continue
                 vector, known = tool.of(text)
                 near = model.centroids @ vector

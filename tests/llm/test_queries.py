@@ -105,3 +105,10 @@ def test_pipeline_packs_every_kept_document_once(spark):
         ends[r["sequence_id"]] = r["offset"] + r["length"]
     assert max(ends.values()) <= 2048
     assert len({(r["doc_id"], r["piece"]) for r in found}) == len(found)
+
+
+def test_documents_without_any_known_language_stay(spark):
+    data = [(n, f"clean words of document {n}", None, "web", 5, 1, 2) for n in range(9)]
+    docs = spark.createDataFrame([*data, (9, "12 34", None, "web", 5, 1, 2), (None,) * 7], ROWS)
+    kept = corpus_pipeline.known_language(spark, docs, str(DATA))
+    assert sorted(r[0] for r in kept.select("doc_id").collect()) == list(range(9))
