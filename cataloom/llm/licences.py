@@ -96,7 +96,7 @@ class Search:
             return found
         reach = len(self.exact) + self.notice.errors
         for begin, end in self._windows(text, reach):
-            for m in self.pattern.finditer(text, begin, end):
+            for m in self._best_first(text, begin, end):
                 errors = sum(m.fuzzy_counts)
                 first = m.start() + len(m[0]) - len(m[0].lstrip(b" "))
                 last = m.end() - len(m[0]) + len(m[0].rstrip(b" "))
@@ -107,6 +107,18 @@ class Search:
                     found.append((first, last, errors))
         return sorted(found)
 
+    def _best_first(self, text: bytes, begin: int, end: int) -> Iterator[regex.Match]:
+        """The best match of a stretch, then those of what is left on both sides of it."""
+        stretches = [(begin, end)]
+        while stretches:
+            begin, end = stretches.pop()
+            if m := self.pattern.search(text, begin, end):
+                yield m
+                # Nothing shorter than the phrase with all errors taken out can match.
+                least = len(self.exact) - 2 - self.notice.errors
+                sides = (begin, m.start()), (m.end(), end)
+                stretches += [(a, b) for a, b in sides if b - a >= least]
+
     def _windows(self, text: bytes, reach: int) -> list[tuple[int, int]]:
         """Stretches around exact pieces, from word to word, joined where they meet."""
         spans = []

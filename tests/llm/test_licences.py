@@ -1,3 +1,4 @@
+import itertools
 import re
 
 import pytest
@@ -54,6 +55,32 @@ def test_one_error_anywhere_is_found_and_counted():
             assert all(s["errors"] <= max(1, distance(text, phrase)) for s in spans)
 
 
+def best_places(text, phrase, budget):
+    """(first word, last word, errors) of places that do not meet, the best first."""
+    words = text.split()
+    found = []
+    for i in range(len(words)):
+        for j in range(i, min(len(words), i + 4)):
+            errors = distance(" ".join(words[i : j + 1]), phrase)
+            if errors <= budget:
+                found.append((errors, i, j))
+    kept = []
+    for errors, i, j in sorted(found):
+        if all(j < a or b < i for a, b, _ in kept):
+            kept.append((i, j, errors))
+    return sorted(kept)
+
+
+@pytest.mark.parametrize("between", [" ", " x ", " some words "])
+def test_notices_close_to_each_other_are_all_found(between):
+    forms = ["apache license", "apache licence", "apach licence", "apachelicense", "apache license"]
+    for some in itertools.permutations(forms, 3):
+        text = between.join(["a", *some, "z"])
+        spans = licences.scan_text(text.encode(), ALL)["spans"]
+        found = [(s["first_word"], s["last_word"], s["errors"]) for s in spans if s["label"] == "apache"]
+        assert sorted(found) == best_places(text, "apache license", 2), text
+
+
 def test_spans_are_places_in_the_text():
     text = "Été: under the  GNU General\nPublic-License, or the MIT Licence!"
     found = licences.scan_text(text.encode(), ALL)
