@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cataloom.llm import jaccard, langid, packing, reachable, toxicity
 from cataloom.operators.sizes import broadcast_if_small
@@ -46,14 +47,38 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near-duplicates the document with the smallest doc_id.
+    """Keeps of each group of near-duplicates the row with the smallest doc_id; one without an id
+    only if none of the group has one.
 
-    Rows that repeat a doc_id count as one document; those without one all stay.
+    Rows are told apart by doc_id and text; of rows equal in both, one stays if the text has words.
     """
     reachable(spark)
-    groups = jaccard.join(docs.select("doc_id", "text"))
-    gone = materialize(groups.where("doc_id <> component_id").select("doc_id"), "repeats")
-    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti")
+    doc_id, text = place(docs, "doc_id"), place(docs, "text")
+    # The join's tables have rows without an id, so its column must allow null.
+    key = F.nullif(F.xxhash64(doc_id, text), F.lit(0))
+    rows = numbered(docs).withColumn("key", key)
+    groups = materialize(jaccard.join(rows.select("key", text), id_col="key", text_col=text), "groups")
+    linked = groups.where("key <> component_id").select("key", "component_id")
+    heads = linked.select(F.col("component_id").alias("key"), "component_id")
+    members = materialize(linked.union(heads).distinct(), "members")
+    order = F.struct(F.col(doc_id).isNull(), doc_id, "key")
+    best = materialize(
+        rows.select("key", doc_id)
+        .join(broadcast_if_small(members), "key")
+        .groupBy("component_id")
+        .agg(F.min(order)["key"].alias("best")),
+        "best",
+    )
+    gone = members.join(broadcast_if_small(best), "component_id").where("key <> best").select("key")
+    left = rows.join(broadcast_if_small(materialize(gone, "repeats")), "key", "left_anti")
+    again = groups.where("n_shingles > 0").groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    again = materialize(again.select("key"), "equal-rows")
+    if not again.isEmpty():
+        again = broadcast_if_small(again)
+        whole = F.min(F.struct(*(c for c in left.columns if c != "key"))).alias("row")
+        one = left.join(again, "key", "left_semi").groupBy("key").agg(whole).select("key", "row.*")
+        left = left.join(again, "key", "left_anti").unionByName(one)
+    return left.drop("key").toDF(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

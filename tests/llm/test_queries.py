@@ -112,3 +112,17 @@ def test_documents_without_any_known_language_stay(spark):
     docs = spark.createDataFrame([*data, (9, "12 34", None, "web", 5, 1, 2), (None,) * 7], ROWS)
     kept = corpus_pipeline.known_language(spark, docs, str(DATA))
     assert sorted(r[0] for r in kept.select("doc_id").collect()) == list(range(9))
+
+
+def test_rows_that_repeat_an_id_are_told_apart(spark):
+    words = [f"{x}{n}" for x in "abcde" for n in range(12)]
+    copied, changed = " ".join(words), " ".join([*words[:-1], "other"])
+    alone, nameless = " ".join(words[::-1]), " ".join(words[::2] + words[1::2])
+    texts = [(1, copied), (2, changed), (2, alone), (None, copied), (3, alone), (4, "x y"), (4, "x y")]
+    texts += [(None, nameless), (None, nameless), (5, None), (5, None)]
+    docs = spark.createDataFrame([(i, t, "en", "web", 1, 1, 2) for i, t in texts], ROWS)
+    kept = corpus_pipeline.one_of_each(spark, docs.repartition(3), str(DATA))
+    assert kept.columns == docs.columns
+    found = sorted((tuple(r[:2]) for r in kept.collect()), key=repr)
+    wanted = [(1, copied), (2, alone), (4, "x y"), (None, nameless), (5, None), (5, None)]
+    assert found == sorted(wanted, key=repr)
