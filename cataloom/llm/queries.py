@@ -14,11 +14,14 @@ from cataloom.llm import (
     langid,
     licences,
     near_vectors,
+    negatives,
     neighbours,
     packing,
+    quality_rules,
     reachable,
     toxicity,
     warc,
+    whitening,
     wrapper,
 )
 
@@ -158,3 +161,46 @@ ORACLES["op2_cross_polytope"] = """
 def op3_adaptive_scan(spark: SparkSession, d: str) -> DataFrame:
     vectors = table(spark, d, "embeddings")
     return neighbours.nearest(vectors, k=20, queries=vectors.where("vec_id % 20 = 0"))
+
+
+@query
+def op11_risk_controlled_rules(spark: SparkSession, d: str) -> DataFrame:
+    return quality_rules.judge(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query
+def op12_threshold_negatives(spark: SparkSession, d: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, d, "embeddings").withColumn("label", moved)
+    found = negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+    return found.select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+    )
+
+
+ORACLES["op12_threshold_negatives"] = """
+    WITH fine AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+            CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+        FROM fine a JOIN fine b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+    positives AS (
+        SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT anchor_id, positive_id,
+        CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER)
+            AS rank,
+        id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+    QUALIFY rank <= 3"""
+
+
+@query
+def op13_polarised_whitening(spark: SparkSession, d: str) -> DataFrame:
+    found = whitening.whiten(table(spark, d, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))

@@ -24,7 +24,7 @@ def duck():
 
 def test_every_operator_has_its_query():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -49,6 +49,9 @@ COLUMNS = {
     "op8": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
     "op9": "doc_id bigint, n_shingles bigint, component_id bigint",
     "op10": "page_id bigint, url string, text string, n_chars bigint",
+    "op11": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
+    "op12": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint",
+    "op13": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
 }
 
 
