@@ -168,6 +168,90 @@ def op11_risk_controlled_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+ORACLES["op11_risk_controlled_rules"] = r"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+            list_filter(string_split(coalesce(text, ''), chr(10)),
+                lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+        FROM documents),
+    runs AS (
+        SELECT r, unnest(g) AS g, generate_subscripts(g, 1) AS i FROM (
+            SELECT r, list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' ')) AS g
+            FROM texts WHERE len(w) >= 8)),
+    again AS (SELECT r, i FROM runs QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+    covered AS (SELECT r, count(DISTINCT i + o) AS n FROM again, range(8) AS t(o) GROUP BY r),
+    counts AS (
+        SELECT r, doc_id, stratum, len(w) AS n_words,
+            length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+            len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+            coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
+            length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
+            length(regexp_replace(t, '[^!?]', '', 'g')) AS n_marks,
+            length(regexp_replace(t, '[^0-9]', '', 'g')) AS n_digits
+        FROM texts LEFT JOIN covered USING (r)),
+    facts AS (
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts),
+    shares AS (
+        SELECT r, doc_id, stratum, base_failed, unnest([
+            {'pos': 0, 'rule': 'symbols', 'a': n_symbols, 'b': word_chars},
+            {'pos': 1, 'rule': 'upper', 'a': n_upper, 'b': word_chars},
+            {'pos': 2, 'rule': 'marks', 'a': n_marks, 'b': word_chars},
+            {'pos': 3, 'rule': 'digits', 'a': n_digits, 'b': word_chars},
+            {'pos': 4, 'rule': 'dup_lines', 'a': n_dup_lines, 'b': n_lines},
+            {'pos': 5, 'rule': 'repeats', 'a': n_repeat_words, 'b': n_words},
+            {'pos': 6, 'rule': 'long_words', 'a': word_chars, 'b': n_words},
+            {'pos': 7, 'rule': 'short_words', 'a': n_words, 'b': word_chars}], recursive := true)
+        FROM facts),
+    measured AS (
+        SELECT *, CASE WHEN b > 0 THEN 10000 * a // b ELSE 0 END AS value FROM shares),
+    said AS (
+        SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IN (0, 1)
+        GROUP BY doc_id HAVING min(quality) = max(quality)),
+    labelled AS (
+        SELECT m.*, good, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '8' AS design
+        FROM measured m JOIN said USING (doc_id) WHERE NOT base_failed),
+    histogram AS (
+        SELECT stratum, pos, value, count(*) FILTER (good) AS good, count(*) FILTER (NOT good) AS bad
+        FROM labelled WHERE design GROUP BY ALL),
+    sums AS (
+        SELECT stratum, pos, value, bad, sum(bad) OVER falling AS caught, sum(good) OVER falling AS lost
+        FROM histogram WINDOW falling AS (PARTITION BY stratum, pos ORDER BY value DESC)),
+    worth AS (
+        SELECT stratum, pos, arg_max(value, (caught - 20 * lost, value)) AS least, max(caught - 20 * lost) AS gain
+        FROM sums WHERE bad > 0 GROUP BY ALL HAVING gain >= 10),
+    chosen AS (
+        SELECT s.*, max(caught) OVER (PARTITION BY stratum, pos) AS every
+        FROM sums s JOIN worth USING (stratum, pos) WHERE bad > 0 AND value >= least),
+    steps AS (
+        SELECT stratum, pos, level, max(value) AS cutoff FROM chosen, range(1, 17) AS t(level)
+        WHERE caught * 16 >= every * level GROUP BY ALL),
+    holdout AS (
+        SELECT l.r, l.stratum, coalesce(min(level), 17) AS rejected_from
+        FROM labelled l LEFT JOIN steps s ON s.stratum = l.stratum AND s.pos = l.pos AND l.value >= s.cutoff
+        WHERE good AND NOT design GROUP BY l.r, l.stratum),
+    tried AS (
+        SELECT stratum, level, count(*) AS n, count(*) FILTER (rejected_from <= level) AS k
+        FROM holdout, range(1, 17) AS t(level) GROUP BY ALL),
+    tested AS (
+        SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1)
+            - lgamma(n - i + 1) + i * ln(0.02) + (n - i) * ln(0.98))))
+            <= 0.05 / (SELECT count(DISTINCT stratum) FROM holdout) AS passed
+        FROM tried),
+    levels AS (
+        SELECT stratum, coalesce(min(level) FILTER (NOT passed) - 1, 16) AS level FROM tested GROUP BY ALL),
+    held AS (SELECT * FROM steps JOIN levels USING (stratum, level)),
+    failed AS (
+        SELECT r, string_agg(rule, ',' ORDER BY pos) AS failed_rules
+        FROM measured JOIN held USING (stratum, pos) WHERE value >= cutoff GROUP BY r),
+    with_cutoffs AS (SELECT DISTINCT stratum, level FROM held)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND failed_rules IS NULL AS kept, coalesce(failed_rules, '') AS failed_rules,
+        CAST(coalesce(level, 0) AS INTEGER) AS level
+    FROM facts LEFT JOIN failed USING (r) LEFT JOIN with_cutoffs USING (stratum)"""
+
+
 @query
 def op12_threshold_negatives(spark: SparkSession, d: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
