@@ -1,0 +1,168 @@
+"""Tables refreshed in one step: readers during a refresh, crashes, two writers."""
+
+import json
+import os
+import threading
+
+import pytest
+
+from cataloom.plans.refresh import refresh
+from cataloom.schemas import CLEAN
+from cataloom.sources import snapshots, tables, versions
+from test_jobs import landed, record  # noqa: F401
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "n int")
+
+
+def seen(spark, snapshot):
+    return {n: sorted(r["n"] for r in df.collect()) for n, df in snapshot.frames(spark).items()}
+
+
+def test_versions_have_no_gaps_and_no_doubles(spark, tmp_path):
+    root = str(tmp_path / "a b")
+    assert versions.newest(spark, root) == -1 and versions.content(spark, root, -1) == {}
+    for number in range(20):
+        assert versions.commit(spark, root, {"n": number}, number - 1) == number
+        assert versions.newest(spark, root) == number
+    for after in (-1, 3, 18):
+        with pytest.raises(versions.VersionConflict):
+            versions.commit(spark, root, {"n": "late"}, after)
+    assert [versions.content(spark, root, n)["n"] for n in range(20)] == list(range(20))
+    # Drafts do not stay, whether they won or not.
+    assert sorted(os.listdir(f"{root}/versions")) == [f"{n:020d}.json" for n in range(20)]
+
+
+def test_one_of_many_writers_wins(spark, tmp_path):
+    root, won, lost = str(tmp_path), [], []
+
+    def write(name):
+        try:
+            versions.commit(spark, root, {"by": name}, -1)
+            won.append(name)
+        except versions.VersionConflict:
+            lost.append(name)
+
+    threads = [threading.Thread(target=write, args=(i,)) for i in range(8)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(won) == 1 and len(lost) == 7
+    assert versions.content(spark, root, 0) == {"by": won[0]}
+
+
+def test_versions_in_a_store_that_is_no_local_disk(spark, tmp_path):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.shop.link./x", f"file://{tmp_path}")
+    root = "viewfs://shop/x/star"
+    assert versions.commit(spark, root, {"n": 0}, -1) == 0
+    with pytest.raises(versions.VersionConflict):
+        versions.commit(spark, root, {"n": "late"}, -1)
+    assert versions.commit(spark, root, {"n": 1}, 0) == 1
+    assert versions.content(spark, root, versions.newest(spark, root)) == {"n": 1}
+    snapshots.replace(spark, f"{root}/t", {"t": numbers(spark, 4)})
+    assert seen(spark, snapshots.current(spark, f"{root}/t")) == {"t": [4]}
+
+
+def test_a_reader_sees_one_state(spark, tmp_path):
+    root = str(tmp_path)
+    assert snapshots.current(spark, root).tables == {}
+    snapshots.replace(spark, root, {"a": numbers(spark, 1), "b": numbers(spark, 1)})
+    before = snapshots.current(spark, root)
+    lazy = before.read(spark, "b")
+    stored = snapshots.store(spark, root, {"a": numbers(spark, 2), "b": numbers(spark, 2, 2)})
+    during = snapshots.current(spark, root)
+    assert seen(spark, during) == {"a": [1], "b": [1]}
+    after = snapshots.put_in_force(spark, root, stored, during.version)
+    assert seen(spark, after) == {"a": [2], "b": [2, 2]} == seen(spark, snapshots.current(spark, root))
+    # Who began before goes on with what they began with.
+    assert seen(spark, before) == {"a": [1], "b": [1]} and lazy.count() == 1
+    assert seen(spark, snapshots.at_version(spark, root, 0)) == {"a": [1], "b": [1]}
+    after.register(spark, "snap_")
+    assert tables.run_sql(spark, "SELECT sum(n) AS n FROM snap_b").first()["n"] == 4
+
+
+def test_tables_that_are_not_replaced_stay(spark, tmp_path):
+    root = str(tmp_path)
+    snapshots.replace(spark, root, {"a": numbers(spark, 1), "b": numbers(spark, 5)})
+    snapshots.replace(spark, root, {"a": numbers(spark)})
+    snapshots.replace(spark, root, {"c": numbers(spark, 7)}, notes={"why": "c"})
+    now = snapshots.current(spark, root)
+    assert seen(spark, now) == {"a": [], "b": [5], "c": [7]} and now.notes == {"why": "c"}
+    found = {tuple(r) for r in snapshots.history(spark, root).collect()}
+    assert found == {
+        (0, "a", 1, 1), (0, "b", 1, 1), (1, "a", 0, 1), (1, "b", 1, 1),
+        (2, "a", 0, 1), (2, "b", 1, 1), (2, "c", 1, 1),
+    }
+    assert len(snapshots.unused_folders(spark, root, 2)) == 1
+    assert snapshots.unused_folders(spark, root, 3) == []
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    root = str(tmp_path)
+    snapshots.replace(spark, root, {"a": numbers(spark, 1), "b": numbers(spark, 1)})
+    base = snapshots.current(spark, root).version
+    snapshots.replace(spark, root, {"a": numbers(spark, 2)}, after=base)
+    with pytest.raises(versions.VersionConflict):
+        snapshots.replace(spark, root, {"b": numbers(spark, 3)}, after=base)
+    assert seen(spark, snapshots.current(spark, root)) == {"a": [2], "b": [1]}
+
+
+def test_refresh_and_crashes(spark, landed, tmp_path, rows, monkeypatch):  # noqa: F811
+    root = str(tmp_path / "catalogue")
+    first = refresh(spark, *landed, root)
+    assert set(first.snapshot.tables) == {"app_list", "app_details", *CLEAN}
+    assert first.snapshot.tables["apps"].rows == 3
+    assert first.reports["rejected"].count() == 2 and first.rejected_facts.count() == 0
+    old = {n: rows(df) for n, df in first.snapshot.frames(spark).items()}
+    assert [r[0] for r in old["apps"]] == [3, 5, 7]
+
+    details = landed[1] + "/a.json"
+    with open(details, "w") as out:
+        out.write("\n".join(json.dumps(record(a, genre="Z")) for a in (3, 4, 5, 7, 8, 9)))
+
+    def fails(*_, **__):
+        raise RuntimeError("lost")
+
+    # Each place where a refresh can die: before, between and after its tables are written.
+    for module, name in ((versions, "commit"), (snapshots, "store"), (snapshots, "put_in_force")):
+        with monkeypatch.context() as patch:
+            patch.setattr(module, name, fails)
+            with pytest.raises(RuntimeError, match="lost"):
+                refresh(spark, *landed, root)
+        now = snapshots.current(spark, root)
+        assert now.version == 0 and {n: rows(df) for n, df in now.frames(spark).items()} == old
+    second = refresh(spark, *landed, root).snapshot
+    assert second.version == 1 and second.tables["apps"].rows == 6
+    assert rows(second.read(spark, "genres")) == [(0, "Z")]
+    assert {n: rows(df) for n, df in first.snapshot.frames(spark).items()} == old
+
+
+def test_broken_keys_are_not_put_in_force(spark, landed, tmp_path, rows):  # noqa: F811
+    root = str(tmp_path / "catalogue")
+    good = refresh(spark, *landed, root).snapshot
+    links = good.read(spark, "apps_genres").unionAll(
+        spark.createDataFrame([(3, 99)], "id_app bigint, id_genre bigint")
+    )
+    with pytest.raises(snapshots.BrokenSnapshot, match="foreign_key apps_genres.id_genre"):
+        snapshots.replace(spark, root, {"apps_genres": links}, check=True)
+    assert snapshots.current(spark, root).version == 0
+    assert snapshots.replace(spark, root, {"apps_genres": links}).version == 1
+
+
+def test_load_and_empty(spark, tmp_path, rows):
+    staged, root = str(tmp_path / "staged"), str(tmp_path / "root")
+    genres = spark.createDataFrame([("0", "A"), ("x", "B")], "id_genre string, genre string")
+    links = spark.createDataFrame([("1", "0")], "id_app string, id_genre string")
+    tables.write_tables({"genres": genres, "apps_genres": links}, staged, "csv")
+    names = ("genres", "apps_genres")
+    for version in range(2):
+        snapshot, rejected = snapshots.load_snapshot(spark, staged, root, names, "csv")
+        assert snapshot.version == version
+        assert rows(snapshot.read(spark, "genres")) == [(0, "A")]
+        assert rejected["genres"].count() == 1 and rejected["apps_genres"].count() == 0
+    emptied = snapshots.empty_snapshot(spark, root, ["apps_genres", "tags"])
+    assert {n: t.rows for n, t in emptied.tables.items()} == {"genres": 1, "apps_genres": 0, "tags": 0}
+    assert emptied.read(spark, "tags").columns == ["id_tag", "tag"]
