@@ -5,13 +5,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cataloom.operators.ids import with_batch
 from cataloom.plans.refresh import refresh
 from cataloom.schemas import CLEAN
-from cataloom.showcase import query, roles
+from cataloom.showcase import query, roles, table
 from cataloom.showcase.cleaning import STAR_ROWS, raw_details, star_rows, star_sql
 from cataloom.showcase.roles import APPS, LANGUAGES
 from cataloom.showcase.storage_and_streams import _RUN_FACTS, _json_lines, _land_list
-from cataloom.sources import snapshots, versions
+from cataloom.sources import batches, snapshots, versions
 from cataloom.storage import scratch_path
 
 
@@ -95,3 +96,34 @@ def snapshot_end_to_end(spark, d):
         F.lit(None).cast("double").alias("amount"),
     )
     return star_rows({name: now[name] for name in CLEAN}).unionByName(before)
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'done'
+        ELSE o_orderstatus END AS o_orderstatus,
+        CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS batch_id FROM orders""")
+def repeatable_batches(spark, d):
+    """Batches put twice, one of them with other contents the second time."""
+    number = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", number.alias("batch_id"))
+    root, fields = scratch_path(spark, "batches"), ("o_orderkey", "o_orderstatus")
+    batches.put_batches(orders, root, fields)
+    batches.put_batches(orders.where("batch_id = 0"), root, fields)
+    done = orders.where("batch_id = 2").withColumn("o_orderstatus", F.lit("done"))
+    batches.put_batches(done, root, fields)
+    return batches.read_batches(spark, root, fields)
+
+
+@query("""SELECT (p_partkey - low) // 300 AS batch, count(*) AS num_rows,
+        max(p_partkey) - low + 1 AS done, CAST(0 AS BIGINT) AS restart
+    FROM part, (SELECT min(p_partkey) AS low FROM part)
+    WHERE (p_partkey - low) // 300 > 0 GROUP BY batch, low""")
+def batch_ledger(spark, d):
+    """Rows and positions done of each batch; the first one is missing, so work begins there."""
+    part = table(spark, d, "part").select("p_partkey", "p_name")
+    low = part.agg(F.min("p_partkey")).first()[0]
+    work = with_batch(part, "p_partkey", low, 300).where("batch_id > 0")
+    root = scratch_path(spark, "batches")
+    for _ in range(2):
+        batches.put_batches(work, root, ["p_name"], position="p_partkey")
+    restart = batches.restart_position(spark, root, low, 300) - low
+    return batches.progress(spark, root, low).withColumn("restart", F.lit(restart).cast("bigint"))
