@@ -55,13 +55,14 @@ def normalize_map(
     return df.drop(map_col), dim, links
 
 
-def _split_off(
-    df, entries: Column, names: Column, name_of, extras, id_col, dim_id, label, order_col
-):
-    # Each row gives a label once, with its first place, so that the smallest row and
-    # the place in that row fix the order. Both are numbers: a hash aggregate with
-    # partial results before the shuffle, whatever the share of the commonest label.
-    first = (
+def first_places(df: DataFrame, names: Column, label: str, order_col: str) -> DataFrame:
+    """Each label once, with the first row that has it and its place in that row.
+
+    Each row gives a label once, with its first place, so that the smallest row and the place in
+    that row fix the order. Both are numbers: a hash aggregate with partial results before the
+    shuffle, whatever the share of the commonest label.
+    """
+    return (
         df.select(
             F.col(order_col).alias("_row"),
             F.posexplode(F.array_distinct(names)).alias("_place", label),
@@ -72,15 +73,26 @@ def _split_off(
             F.min_by("_place", "_row").alias("_place"),
         )
     )
-    numbered, summary = number_rows(
-        first, ["_row", "_place"], dim_id, label_bytes=F.sum(F.octet_length(label))
-    )
-    dim = numbered.select(dim_id, label)
-    links = df.select(id_col, F.explode(entries).alias("_entry")).select(
+
+
+def label_links(df: DataFrame, entries: Column, name_of, extras, id_col: str, label: str) -> DataFrame:
+    """A row per list entry: the id, the label, and the extras."""
+    return df.select(id_col, F.explode(entries).alias("_entry")).select(
         id_col,
         name_of(F.col("_entry")).alias(label),
         *[get(F.col("_entry")).alias(name) for name, get in extras.items()],
     )
+
+
+def _split_off(
+    df, entries: Column, names: Column, name_of, extras, id_col, dim_id, label, order_col
+):
+    first = first_places(df, names, label, order_col)
+    numbered, summary = number_rows(
+        first, ["_row", "_place"], dim_id, label_bytes=F.sum(F.octet_length(label))
+    )
+    dim = numbered.select(dim_id, label)
+    links = label_links(df, entries, name_of, extras, id_col, label)
     size = sum(row["label_bytes"] + 16 * row["rows"] for row in summary)
     bridge = look_up(links, dim, label, dim_id, size)
     return dim, bridge.select(id_col, dim_id, *extras)

@@ -9,11 +9,19 @@ from cataloom.operators.ids import with_batch
 from cataloom.plans.refresh import refresh
 from cataloom.schemas import CLEAN
 from cataloom.showcase import query, roles, table
-from cataloom.showcase.cleaning import STAR_ROWS, raw_details, star_rows, star_sql
+from cataloom.showcase.cleaning import (
+    _FACTS,
+    STAR_ROWS,
+    facts_sql,
+    raw_details,
+    star_rows,
+    star_sql,
+)
 from cataloom.showcase.roles import APPS, LANGUAGES
 from cataloom.showcase.storage_and_streams import _RUN_FACTS, _json_lines, _land_list
 from cataloom.sources import batches, snapshots, versions
 from cataloom.storage import scratch_path
+from cataloom.streaming import star
 
 
 def _catalogue(spark, d, moved: int = 0) -> dict[str, DataFrame]:
@@ -127,3 +135,56 @@ def batch_ledger(spark, d):
         batches.put_batches(work, root, ["p_name"], position="p_partkey")
     restart = batches.restart_position(spark, root, low, 300) - low
     return batches.progress(spark, root, low).withColumn("restart", F.lit(restart).cast("bigint"))
+
+
+def _thirds(details: DataFrame) -> list[DataFrame]:
+    """Raw records in three runs of their order; two cut an application off from its copy."""
+    low, high = details.agg(F.min("row_seq"), F.max("row_seq")).first()
+    ends = [low, (2 * low + high) // 3 | 1, (low + 2 * high) // 3 | 1, high + 1]
+    return [
+        details.where((F.col("row_seq") >= a) & (F.col("row_seq") < b))
+        for a, b in zip(ends, ends[1:], strict=False)
+    ]
+
+
+@query(f"WITH {star_sql(_FACTS)} {STAR_ROWS}")
+def star_batches(spark, d):
+    """Three batches, each taken up twice, then late copies of all applications: the tables of a
+    rebuild, ids included."""
+    details, root = raw_details(spark, d), scratch_path(spark, "star")
+    for number, batch in enumerate(_thirds(details)):
+        for _ in range(2):
+            star.apply_batch(spark, root, batch, "details", number)
+    late = details.withColumn("genre", F.lit("Late")).withColumn("price", F.lit("100"))
+    # Only those taken up: a record that was left out may still come right.
+    seen = star.snapshots.current(spark, root).read(spark, "seen")
+    late = late.join(seen, F.floor("appid").cast("bigint") == F.col("id_app"), "left_semi")
+    star.apply_batch(spark, root, late, "details", 3)
+    return star_rows(star.star(spark, root))
+
+
+# Records whose id is no plain number (sizes 13 and 14) are rejected as they land.
+_LANDED_FACTS = facts_sql("p_partkey // 2", "p_partkey", "11, 12, 13, 14")
+
+
+@query(f"""WITH {star_sql(_LANDED_FACTS)} {STAR_ROWS}
+    UNION ALL SELECT 'rejected_records', NULL, NULL, _id, NULL FROM (
+        SELECT p_partkey // 2 || '.5' AS _id FROM part WHERE p_size = 13
+        UNION ALL SELECT p_partkey // 2 || '.0' FROM part WHERE p_size = 14)""")
+def star_stream(spark, d):
+    """Files landed in three drops, each followed by a run of the stream; the last finds nothing."""
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "star")
+    for batch in (*_thirds(raw_details(spark, d)), None):
+        if batch is not None:
+            ordered = batch.repartitionByRange(3, "row_seq").sortWithinPartitions("row_seq")
+            record = F.struct(*[c for c in batch.columns if c != "row_seq"])
+            ordered.select(F.to_json(record).alias("value")).write.mode("append").text(landing)
+        star.star_stream(spark, landing, root, f"{root}-checkpoint").awaitTermination()
+    rejected = star.rejected_records(spark, root).select(
+        F.lit("rejected_records").alias("table_name"),
+        F.lit(None).cast("bigint").alias("key"),
+        F.lit(None).cast("bigint").alias("ref"),
+        F.col("appid").alias("label"),
+        F.lit(None).cast("double").alias("amount"),
+    )
+    return star_rows(star.star(spark, root)).unionByName(rejected)
