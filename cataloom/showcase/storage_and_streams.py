@@ -24,6 +24,7 @@ from cataloom.showcase.cleaning import (
 from cataloom.showcase.roles import APPS, LANGUAGES
 from cataloom.sources import landing, tables
 from cataloom.sources.raw_csv import read_csv, read_raw_csv, split_raw_csv
+from cataloom.sources.split_csv import split_csv
 from cataloom.storage import materialize, scratch_path
 from cataloom.streaming.ingest import ingest_stream, ingested
 
@@ -189,6 +190,26 @@ def scan_raw_csv(spark, d):
     return read_raw_csv(spark, path, schema).drop("row_seq")
 
 
+@query("""SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'a "' || source || '", b' AS quoted, text,
+        row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents""")
+def scan_split_csv(spark, d):
+    """Texts with quotes and line breaks come back, in order, from files shared by many tasks."""
+    documents = table(spark, d, "documents").select(
+        "doc_id", F.concat(F.lit('a "'), "source", F.lit('", b')).alias("quoted"), "text"
+    )
+    ordered = documents.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    path = tables.write_table(ordered, scratch_path(spark, "documents"), "csv")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in documents.columns])
+    split = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(split)
+    spark.conf.set(split, "64k")
+    try:
+        rows, _ = split_csv(spark, path, schema)
+    finally:
+        spark.conf.set(split, before)
+    return dense_ids(rows, ["row_seq"], "position").drop("row_seq")
+
+
 @query("SELECT CAST(p_partkey AS VARCHAR) AS appid FROM part")
 def scan_csv_ids(spark, d):
     """Only the ids of a written application list."""

@@ -73,10 +73,16 @@ def split_raw_csv(
 ) -> tuple[DataFrame, DataFrame]:
     """(sound rows with null tokens applied, rejected lines), each with a row_seq in file order.
 
-    A file with line breaks inside cells cannot be split, so it is one task's work: land many
-    files, and write the result as Parquet once for everything later.
+    With line breaks inside cells a file is one task's work here; ``split_csv.split_csv`` shares
+    large files among tasks. Write the result as Parquet once for everything later.
     """
-    ordered = with_file_order(scan_csv(spark, path, schema, multi_line), path)
+    return told_apart(with_file_order(scan_csv(spark, path, schema, multi_line), path), schema, tokens)
+
+
+def told_apart(
+    ordered: DataFrame, schema: T.StructType, tokens: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """(sound rows, rejected lines) of a scan with ``row_seq``."""
     cells = {
         f.name: null_tokens(F.col(f.name), tokens)
         for f in schema
