@@ -28,4 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_all() -> None:
-    from cataloom.showcase import analytics, cleaning, states, storage_and_streams  # noqa: F401
+    from cataloom.showcase import (  # noqa: F401
+        analytics,
+        cleaning,
+        indexed,
+        states,
+        storage_and_streams,
+    )
