@@ -176,11 +176,12 @@ def cast_datetimes(df: DataFrame) -> DataFrame:
 
 
 def explore_table(
-    df: DataFrame, specs: Sequence[In | Between | Matches] = (), exact: bool | str = "kind"
+    df: DataFrame, specs: Sequence[In | Between | Matches] = (), exact: bool | str = True
 ) -> tuple[DataFrame, DataFrame]:
     """(profile that says which filter each column takes, rows that pass the chosen filters).
 
-    Date-times kept as text are found first, so both see them as date-times.
+    Date-times kept as text are found first, so both see them as date-times. Counts are exact
+    unless ``exact`` asks for estimates (see ``profile``).
     """
     typed = cast_datetimes(df)
     return profile(typed, exact=exact), apply_filters(typed, specs)

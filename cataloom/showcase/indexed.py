@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from cataloom.operators.bitmaps import label_bitmaps, merged, search_indexed, stored
 from cataloom.operators.cooccurrence import label_pairs, related_from_pairs
 from cataloom.operators.cooccurrence import merged as merged_pairs
+from cataloom.operators.label_lists import canonical_labels
 from cataloom.operators.price_cells import price_index, rank_in_range
+from cataloom.operators.profiles import stored_profile, update_profiles
 from cataloom.operators.ranking import CRITERIA
-from cataloom.showcase import ORACLES, query, roles
+from cataloom.showcase import ORACLES, query, roles, table
 from cataloom.showcase.analytics import (
     _BY_GENRE,
     _BY_LANGUAGE,
@@ -21,6 +23,7 @@ from cataloom.showcase.analytics import (
     _search_sql,
 )
 from cataloom.showcase.roles import APPS, GENRES, LANGUAGES, TAGS
+from cataloom.storage import scratch_path
 
 
 def _bitmaps(spark, d) -> DataFrame:
@@ -134,3 +137,42 @@ def related_pairs_of_language(spark, d):
         bridge_b=bridge, dim_b=dim, dim_id_b="id_genre", label_b="genre", fact_id="id_app",
     )
     return related_from_pairs(pairs, "NATION_16", "genre")
+
+
+@query("""WITH names AS (SELECT upper(substr(p_name, 2, 4)) AS name, min(p_partkey) AS position
+        FROM part WHERE p_partkey % 3 = 0 GROUP BY 1)
+    SELECT p_partkey, coalesce(arg_min(name, position), any_value(p_name)) AS found
+    FROM part LEFT JOIN names ON contains(lower(p_name), lower(name)) GROUP BY p_partkey""")
+def canonical_label_list(spark, d):
+    """Names that are a table, looked up in all part names."""
+    part = table(spark, d, "part").select("p_partkey", "p_name")
+    name = F.upper(F.substring("p_name", 2, 4)).alias("name")
+    names = part.where("p_partkey % 3 = 0").groupBy(name).agg(F.min("p_partkey").alias("position"))
+    return canonical_labels(part, "p_name", names, "found").select("p_partkey", "found")
+
+
+_PROFILED = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+
+
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS "column",
+        CASE WHEN count(DISTINCT {c}) < 10 THEN 'categorical' ELSE '{kind}' END AS kind,
+        count(*) - count({c}) AS num_nulls, CAST(min({c}) AS VARCHAR) AS "min",
+        CAST(max({c}) AS VARCHAR) AS "max", true AS near FROM orders"""
+    for c, kind in zip(_PROFILED, ("numeric", "numeric", "text", "text"), strict=True)))
+def profile_stored(spark, d):
+    """A profile kept by files and brought up to date after each of two drops; ``near``: counts
+    are exact or within the stated five in a hundred."""
+    orders = table(spark, d, "orders").select(*_PROFILED)
+    path, root = scratch_path(spark, "orders"), scratch_path(spark, "profiles")
+    for part in (orders.where("o_orderkey % 3 = 0"), orders.where("o_orderkey % 3 <> 0")):
+        part.write.mode("append").parquet(path)
+        update_profiles(spark, path, root)
+    exact = orders.agg(*[F.countDistinct(c).alias(c) for c in _PROFILED]).first()
+    known = F.lit(None)
+    for c in _PROFILED:
+        known = F.when(F.col("column") == c, F.lit(exact[c])).otherwise(known)
+    apart = F.abs(F.col("n_distinct") - known)
+    near = F.when(F.col("exact"), apart == 0).otherwise(apart <= known * 0.05)
+    return stored_profile(spark, root).select(
+        "column", "kind", "num_nulls", "min", "max", near.alias("near")
+    )
