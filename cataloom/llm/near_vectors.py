@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cataloom.llm.graph import components
-from cataloom.llm.vectors import marked, matrix, rotated
+from cataloom.llm.vectors import by_length, marked, matrix, rotated
 from cataloom.storage import materialize
 
 
@@ -96,7 +96,7 @@ def linked(
     id each counts by its own vector; a null id is never a component's least unless all are.
     """
     settings = settings or Settings()
-    marked_, dimension = marked(vectors, id_col, vector_col)
+    marked_ = marked(vectors, id_col, vector_col)
     distinct = materialize(
         marked_.where("usable")
         .groupBy("vector")
@@ -109,19 +109,22 @@ def linked(
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
-                main, more = hashes(units(part.column("vector"), dimension), settings)
-                buckets = np.concatenate([main[:, :, None], more], axis=2)
-                n, tables, each = buckets.shape
-                owner = pa.array(np.repeat(np.arange(n), tables * each))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.tile(np.repeat(np.arange(tables), each), n), pa.int32()),
-                        pa.array(buckets.reshape(-1), pa.int64()),
-                        pa.array(np.tile(np.arange(each) > 0, n * tables)),
-                        part.column("node").take(owner),
-                    ],
-                    names=["tab", "bucket", "probing", "node"],
-                )
+                for at, some in by_length(part.column("vector")):
+                    dimension = len(some[0])
+                    main, more = hashes(units(some, dimension), settings)
+                    # Vectors of different lengths have no bucket in common.
+                    buckets = np.concatenate([main[:, :, None], more], axis=2) + (dimension << 36)
+                    n, tables, each = buckets.shape
+                    owner = pa.array(np.repeat(at, tables * each))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.tile(np.repeat(np.arange(tables), each), n), pa.int32()),
+                            pa.array(buckets.reshape(-1), pa.int64()),
+                            pa.array(np.tile(np.arange(each) > 0, n * tables)),
+                            part.column("node").take(owner),
+                        ],
+                        names=["tab", "bucket", "probing", "node"],
+                    )
 
     entries = materialize(
         distinct.select("node", "vector").mapInArrow(
@@ -170,6 +173,7 @@ def linked(
     slots = 1 + seats.count() // settings.slot
     place = ["tab", "bucket", "i", "j"]
     seated = seats.join(distinct.select("node", "copies", "vector"), "node").select(
+        F.size("vector").alias("dimension"),
         F.pmod(F.xxhash64(*place), F.lit(slots)).alias("slot"),
         *place,
         "part",
@@ -184,7 +188,7 @@ def linked(
         column = {
             c: table[c].to_numpy() for c in [*place, "part", "probing", "node", "copies"]
         }
-        unit = units(table["vector"].combine_chunks(), dimension)
+        unit = units(table["vector"].combine_chunks(), table["dimension"][0].as_py())
         node, tab, part = column["node"], column["tab"], column["part"]
         new = np.zeros(len(node), bool)
         new[0] = True
@@ -233,7 +237,7 @@ def linked(
         return pa.table({"node": node[rows_], "links": links[rows_], "root": root[rows_]})
 
     found = materialize(
-        seated.groupBy("slot").applyInArrow(verify, "node bigint, links bigint, root bigint"),
+        seated.groupBy("dimension", "slot").applyInArrow(verify, "node bigint, links bigint, root bigint"),
         "verified",
     )
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))

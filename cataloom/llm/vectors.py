@@ -2,32 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def marked(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    """(id, vector, usable) of all rows, and the dimension of the usable ones.
+def marked(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(id, vector, usable) of all rows.
 
-    Vectors that are null, zero, or hold null or non-finite components take no part, nor do
-    those of another length than most (of two equally frequent, the greater).
+    Vectors that are null, empty, zero, or hold null or non-finite components take no part. Those of
+    different lengths take part, each among its own.
     """
     v = F.col("vector")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     fine = F.coalesce(finite & F.exists(v, lambda x: x != 0), F.lit(False))
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
-    lengths = rows.where(fine).groupBy(F.size("vector").alias("n")).count()
-    most = lengths.orderBy(F.desc("count"), F.desc("n")).first()
-    dimension = most["n"] if most else 0
-    return rows.withColumn("usable", fine & (F.size("vector") == dimension)), dimension
+    return rows.withColumn("usable", fine)
+
+
+def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(id, vector) of the rows that take part."""
+    return marked(vectors, id_col, vector_col).where("usable").drop("usable")
 
 
-def usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    """(id, vector) of the rows that take part, and their dimension."""
-    rows, dimension = marked(vectors, id_col, vector_col)
-    return rows.where("usable").drop("usable"), dimension
+def by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Places of the vectors of each length, and those vectors."""
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        yield at, column.take(pa.array(at))
 
 
 def matrix(column: pa.Array, dimension: int) -> np.ndarray:

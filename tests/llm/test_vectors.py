@@ -147,3 +147,32 @@ def test_recall_on_given_vectors(spark):
     hits = sum(len({j for j, _ in found[i]} & {j for j, _ in near}) for i, near in expected.items())
     assert all(len(found[i]) == 20 for i in expected)
     assert hits >= 0.9 * 20 * len(expected)
+
+
+def test_near_duplicates_of_several_lengths(spark, rows):
+    groups = [(0, clustered(6, 20, 64, 0.2)), (1000, clustered(7, 20, 5, 0.2)), (2000, [(0, [2.0]), (1, [3.0]), (2, [-1.0])])]
+    data = [[(first + i, v) for i, v in some] for first, some in groups]
+    found = near_vectors.linked(frame(spark, sum(data, [])).repartition(5))
+    wanted = sum((brute_links(d, len(d[0][1])) for d in data), [])
+    assert rows(found) == sorted(wanted, key=repr)
+    assert {r[1] for r in wanted if r[0] >= 2000} == {0, 1}
+
+
+def test_nearest_of_several_lengths(spark):
+    settings = neighbours.Settings(list_rows=20, probed=1.0, doubt=99.0, cell=64, block=5)
+    data = [[(n + i, v) for i, v in clustered(n, 40, width, 0.4)] for n, width in ((1, 8), (1000, 3), (2000, 64))]
+    data.append([(3000, [1.0, 2.0])])  # a query with no candidate
+    every = frame(spark, sum(data, []))
+    found = result(neighbours.nearest(every, 6, settings, every.where("vec_id % 5 = 0")))
+    wanted = {}
+    for some in data:
+        wanted |= brute_nearest(some, len(some[0][1]), 6, lambda i: i % 5 == 0)
+    assert {i: [j for j, _ in n] for i, n in found.items()} == {
+        i: [j for j, _ in n] for i, n in wanted.items() if n
+    }
+
+
+def test_the_sample_is_bounded(spark):
+    data = spark.range(40_000).selectExpr("id", "array(double(id % 977), double(id % 13) + 1, 1D) AS vector")
+    index = neighbours.fit(data, 3, neighbours.Settings(sample=500, bounding=100, list_rows=4000))
+    assert index.sample.shape == (100, 3) and len(index.centres) == 10
