@@ -13,10 +13,14 @@ Null text counts as empty. Texts are searched whole.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import heapq
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -25,6 +29,7 @@ from pyspark.sql import types as T
 
 LETTERS_PER_ERROR = 6
 SHORT = 3  # words of so many letters are never matched with errors
+BLOCK = 512  # bytes by which the blocks of a long stretch follow each other
 
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
@@ -91,44 +96,73 @@ class Search:
 
     def matches(self, text: bytes) -> list[tuple[int, int, int]]:
         """(start, end, errors) in ``text``, which begins and ends with a space."""
-        found = [(at + 1, at - 1 + len(self.exact), 0) for at in places(text, self.exact)]
+        exact = [(at + 1, at - 1 + len(self.exact), 0) for at in places(text, self.exact)]
         if not self.notice.errors:
-            return found
+            return exact
+        found = list(exact)
+        starts = [s for s, _, _ in exact]
         reach = len(self.exact) + self.notice.errors
-        for begin, end in self._windows(text, reach):
-            for m in self._best_first(text, begin, end):
+        spaces = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
+        for begin, end in self._windows(text, reach, spaces):
+            for m in self._best_first(text, begin, end, reach, spaces):
                 errors = sum(m.fuzzy_counts)
                 first = m.start() + len(m[0]) - len(m[0].lstrip(b" "))
                 last = m.end() - len(m[0]) + len(m[0].rstrip(b" "))
-                # What meets an exact place is that place with more or fewer words.
-                if errors <= self.notice.errors and not any(
-                    s < last and first < e for s, e, _ in found
-                ):
+                # What meets an exact place is that place with more or fewer words. These are
+                # equally long, so the last that begins before the end is the only one to ask.
+                before = bisect.bisect_left(starts, last) - 1
+                if errors <= self.notice.errors and not (before >= 0 and exact[before][1] > first):
                     found.append((first, last, errors))
         return sorted(found)
 
-    def _best_first(self, text: bytes, begin: int, end: int) -> Iterator[regex.Match]:
-        """The best match of a stretch, then those of what is left on both sides of it."""
-        stretches = [(begin, end)]
-        while stretches:
-            begin, end = stretches.pop()
-            if m := self.pattern.search(text, begin, end):
-                yield m
-                # Nothing shorter than the phrase with all errors taken out can match.
-                least = len(self.exact) - 2 - self.notice.errors
-                sides = (begin, m.start()), (m.end(), end)
-                stretches += [(a, b) for a, b in sides if b - a >= least]
-
-    def _windows(self, text: bytes, reach: int) -> list[tuple[int, int]]:
+    def _best_first(
+        self, text: bytes, begin: int, end: int, reach: int, spaces: np.ndarray
+    ) -> Iterator[regex.Match]:
+        """The best match of a stretch (of equal ones the first), then those of what is left on
+        both sides of it.
+
+        A long stretch is searched in blocks that begin and end between words and overlap by more
+        than a match. The best of all their matches is taken; only blocks that meet it
+        are searched again, in what it leaves of them, so the work grows with the stretch.
+        """
+        # Nothing shorter than the phrase with all errors taken out can match.
+        least = len(self.exact) - 2 - self.notice.errors
+        queue: list[tuple[int, int, int, int, int, regex.Match]] = []
+        meeting: dict[int, set[tuple[int, int]]] = defaultdict(set)
+
+        def search(a: int, b: int) -> None:
+            if b - a < least or (a, b) in meeting[a // BLOCK]:
+                return
+            if m := self.pattern.search(text, a, b):
+                heapq.heappush(queue, (sum(m.fuzzy_counts), m.start(), m.end(), a, b, m))
+                for place in range(a // BLOCK, b // BLOCK + 1):
+                    meeting[place].add((a, b))
+
+        for a, b in blocks(begin, end, reach, spaces):
+            search(a, b)
+        while queue:
+            _, first, last, a, b, m = heapq.heappop(queue)
+            if (a, b) not in meeting[a // BLOCK]:
+                continue  # has been searched again
+            yield m
+            met = set().union(*(meeting[p] for p in range(first // BLOCK, last // BLOCK + 1)))
+            again = set()
+            for a, b in met:
+                if a < last and first < b:
+                    for place in range(a // BLOCK, b // BLOCK + 1):
+                        meeting[place].discard((a, b))
+                    again |= {(a, min(b, first)), (max(a, last), b)}
+            for a, b in sorted(again):
+                search(a, b)
+
+    def _windows(self, text: bytes, reach: int, spaces: np.ndarray) -> list[tuple[int, int]]:
         """Stretches around exact pieces, from word to word, joined where they meet."""
-        spans = []
-        for seed in self.seeds:
-            for at in places(text, seed):
-                begin = text.rfind(b" ", 0, max(1, at - reach) + 1)
-                end = text.find(b" ", min(len(text) - 1, at + reach))
-                spans.append((max(0, begin), len(text) if end < 0 else end + 1))
+        at = np.array(sorted({p for seed in self.seeds for p in places(text, seed)}), np.int64)
+        before = np.searchsorted(spaces, np.maximum(0, at - reach), "right") - 1
+        after = np.searchsorted(spaces, np.minimum(len(text) - 1, at + reach))
+        spans = zip(spaces[before].tolist(), (spaces[after] + 1).tolist(), strict=True)
         joined: list[tuple[int, int]] = []
-        for begin, end in sorted(spans):
+        for begin, end in spans:
             if joined and begin < joined[-1][1]:
                 joined[-1] = joined[-1][0], max(end, joined[-1][1])
             else:
@@ -136,6 +170,17 @@ class Search:
         return joined
 
 
+def blocks(begin: int, end: int, reach: int, spaces: np.ndarray) -> list[tuple[int, int]]:
+    """Parts of a stretch, cut between words, in one of which at least any match lies whole."""
+    if end - begin <= 2 * BLOCK:
+        return [(begin, end)]
+    starts = np.arange(begin, end, BLOCK)
+    low = np.maximum(begin, spaces[np.maximum(0, np.searchsorted(spaces, starts, "right") - 1)])
+    ends = np.minimum(end - 1, starts + BLOCK + 2 * reach)
+    high = np.minimum(end, spaces[np.minimum(len(spaces) - 1, np.searchsorted(spaces, ends))] + 1)
+    return sorted(set(zip(low.tolist(), high.tolist(), strict=True)))
+
+
 def places(text: bytes, part: bytes) -> Iterator[int]:
     at = text.find(part)
     while at >= 0:
@@ -155,8 +200,10 @@ def scan_text(text: bytes, notices: tuple[Notice, ...]) -> dict:
     base, spans = [], []
     for search in searches(notices):
         notice = search.notice
+        at = first = 0  # words before a place, counted from the place before
         for begin, end, errors in search.matches(plain):
-            first = plain.count(b" ", 0, begin) - 1
+            first += plain.count(b" ", at, begin) - (at == 0)
+            at = begin
             last = first + plain.count(b" ", begin, end)
             spans.append(
                 {

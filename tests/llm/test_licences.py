@@ -133,3 +133,62 @@ def test_base_of_given_documents(spark):
     for r in licences.scan(docs).join(docs.select("doc_id", "text"), "doc_id").collect():
         assert tuple(r[c] for c in BASE) == brute(r["text"])
         assert r["score"] == 1.0 if r["n_base"] else r["score"] < 1.0
+
+
+def naive_best_first(search, text, begin, end):
+    """The best of a whole stretch, then of both sides, by searching all of it each time."""
+    least = len(search.exact) - 2 - search.notice.errors
+    stretches, found = [(begin, end)], []
+    while stretches:
+        begin, end = stretches.pop()
+        if m := search.pattern.search(text, begin, end):
+            found.append((*m.span(), sum(m.fuzzy_counts)))
+            sides = (begin, m.start()), (m.end(), end)
+            stretches += [(a, b) for a, b in sides if b - a >= least]
+    return sorted(found)
+
+
+@pytest.mark.parametrize("notice", [n for n in ALL if 0 < n.errors <= 4], ids=lambda n: n.phrase)
+def test_blocks_find_what_a_search_of_the_whole_finds(notice, monkeypatch):
+    import random
+
+    rnd = random.Random(notice.phrase)
+    search = licences.Search(notice)
+    monkeypatch.setattr(licences, "BLOCK", 40)
+
+    def spoilt():
+        letters = list(notice.phrase)
+        for _ in range(rnd.randint(0, notice.errors + 1)):
+            at = rnd.randrange(len(letters))
+            letters[at] = rnd.choice(["", "x", letters[at] + "y", letters[at]])
+        return " ".join("".join(letters).split())
+
+    for _ in range(6):
+        words = [spoilt() if rnd.random() < 0.6 else rnd.choice(["a", "license", "w" * 90, "the"]) for _ in range(25)]
+        text = f" {' '.join(words)} ".encode()
+        spaces = licences.np.flatnonzero(licences.np.frombuffer(text, licences.np.uint8) == 32)
+        reach = len(search.exact) + notice.errors
+        found = [
+            (*m.span(), sum(m.fuzzy_counts))
+            for m in search._best_first(text, 0, len(text), reach, spaces)
+        ]
+        assert sorted(found) == naive_best_first(search, text, 0, len(text))
+
+
+@pytest.mark.parametrize(
+    "part", ["apache licence x ", "apache license ", "gnu genral public license ", "mitlicense", "apache", "cc by "]
+)
+def test_repeated_notices_take_linear_time(part):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        found = licences.scan_text((part * n).encode(), ALL)
+        return time.perf_counter() - start, found
+
+    seconds(10)
+    little, _ = seconds(2_000)
+    much, found = seconds(16_000)
+    assert much < 16 * little + 2
+    if part.startswith(("apache ", "gnu")):
+        assert len([s for s in found["spans"] if s["label"] in ("apache", "gpl")]) == 16_000
