@@ -11,21 +11,24 @@ empty and is ``und``, as is any text if there is nothing to learn from.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cataloom.operators.sizes import broadcast_if_small
 from cataloom.storage import materialize
 
 UNKNOWN = "und"
 GRAMS = 1 << 24
 CHUNK = 1 << 20
 SLICES = 1_000_000
+COUNTED = 1 << 22  # trigrams that a task holds before it sends their counts
 
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)
@@ -35,8 +38,7 @@ _FOLD = bytes(
 @dataclass(frozen=True)
 class Settings:
     per_lang: int = 1500
-    langs: int = 256  # the most frequent labels are learned
-    vocabulary: int = 8192
+    vocabulary: int = 8192  # trigrams that count, dealt to the languages by turns
     clusters: int = 4
     #: Share of training texts that may be further from their centroid than the limit is
     #: set from, and how much less than their cosine still counts as near.
@@ -124,64 +126,62 @@ def fit(
 ) -> Model | None:
     """A model of the labelled training rows; None if there are none.
 
-    To the driver come one count per language, the trigrams of the vocabulary, and one sparse
-    vector for each text of the sample.
+    Every label is a language. The vocabulary takes each language's commonest trigram, then each
+    one's second, and so on, so that rare languages have as many as others. Each language's
+    centroids are found by a task of its own from its sample. To the driver come the trigrams of
+    the vocabulary and the centroids.
     """
     settings = settings or Settings()
     rows = training_rows(docs, id_col, lang_col).where(F.length(text_col) > 0)
-    sizes = (
-        rows.groupBy(lang_col)
-        .count()
-        .orderBy(F.desc("count"), lang_col)
-        .limit(settings.langs)
-        .collect()
-    )
-    if not sizes:
-        return None
-    share = F.coalesce(
-        *(
-            F.when(F.col(lang_col) == r[lang_col], settings.per_lang / r["count"] * SLICES)
-            for r in sizes
-        )
+    rows = rows.select(
+        F.col(lang_col).cast("string").alias("lang"),
+        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(SLICES)).alias("place"),
+        F.col(text_col).alias("text"),
     )
+    sizes = broadcast_if_small(materialize(rows.groupBy("lang").count(), "language-sizes"))
+    share = settings.per_lang / F.col("count") * SLICES
     sample = materialize(
-        rows.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(SLICES)) < share).select(
-            F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
-        ),
-        "language-sample",
+        rows.join(sizes, "lang").where(F.col("place") < share).select("lang", "text"), "language-sample"
     )
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(GRAMS, np.int32)
-        texts = 0
+        held: dict[str, list[np.ndarray]] = defaultdict(list)
+        number = 0
         for batch in batches:
-            for text in batch.column("text").cast(pa.binary()):
-                own = [np.unique(c) for c in trigrams(text.as_py())]
-                found[np.unique(np.concatenate(own))] += 1
-                texts += 1
-        codes = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.append(codes, -1), pa.int64()),
-                pa.array(np.append(found[codes], texts), pa.int64()),
-            ],
-            names=["code", "texts"],
-        )
-
-    counted = (
-        sample.mapInArrow(presence, "code bigint, texts bigint")
+            langs = batch.column("lang").to_pylist()
+            for lang, text in zip(langs, batch.column("text").cast(pa.binary()), strict=True):
+                own = np.unique(np.concatenate([np.unique(c) for c in trigrams(text.as_py())]))
+                held[lang].append(own)
+                number += len(own)
+                if number > COUNTED:
+                    yield from sent(held)
+                    number = 0
+        yield from sent(held)
+
+    def sent(held: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for lang, codes in held.items():
+            code, texts = np.unique(np.concatenate(codes), return_counts=True)
+            names = pa.array([lang] * len(code), pa.string())
+            columns = [names, *(pa.array(c.astype(np.int64)) for c in (code, texts))]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "code", "texts"])
+        held.clear()
+
+    counted = sample.mapInArrow(presence, "lang string, code bigint, texts bigint")
+    counted = counted.groupBy("lang", "code").agg(F.sum("texts").alias("texts"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("texts"), "code"))
+    chosen = (
+        counted.withColumn("turn", turn)
         .groupBy("code")
-        .agg(F.sum("texts").alias("texts"))
-        .orderBy(F.col("code") >= 0, F.desc("texts"), "code")
-        .limit(settings.vocabulary + 1)
+        .agg(F.min("turn").alias("turn"), F.sum("texts").alias("texts"))
+        .orderBy("turn", F.desc("texts"), "code")
+        .limit(settings.vocabulary)
         .collect()
     )
-    total = max(1, counted[0]["texts"])
-    chosen = sorted((r["code"], r["texts"]) for r in counted[1:])
     if not chosen:
         return None
-    codes = np.array([c for c, _ in chosen], np.int64)
-    idf = np.log1p(total / np.array([n for _, n in chosen], np.float64))
+    total = sample.count()
+    codes, texts = (np.array(c) for c in zip(*sorted((r["code"], r["texts"]) for r in chosen), strict=True))
+    idf = np.log1p(total / texts.astype(np.float64))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Vectors(codes, idf)
@@ -191,7 +191,7 @@ def fit(
                 v, share = tool.of(text.as_py())
                 known.append(share)
                 at = np.flatnonzero(v)
-                slots.append(at.astype("<u2" if len(idf) < 1 << 16 else "<u4").tobytes())
+                slots.append(at.astype("<u4").tobytes())
                 values.append(v[at].astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -203,26 +203,35 @@ def fit(
                 names=["lang", "slots", "weights", "known"],
             )
 
-    by_lang: dict[str, list[tuple[np.ndarray, float]]] = {}
-    sparse = "lang string, slots binary, weights binary, known double"
-    for r in sample.mapInArrow(vectors, sparse).collect():
-        dense = np.zeros(len(idf), np.float32)
-        slots = np.frombuffer(r["slots"], "<u2" if len(idf) < 1 << 16 else "<u4")
-        dense[slots] = np.frombuffer(r["weights"], "<f4")
-        if len(slots):
-            by_lang.setdefault(r["lang"], []).append((dense, r["known"]))
-    centroids, langs, least = [], [], []
-    for lang in sorted(by_lang):
-        own = sorted(by_lang[lang], key=lambda v: v[0].tobytes())  # whatever order they came in
+    def learn(table: pa.Table) -> pa.Table:
+        """The centroids of one language."""
+        own = []
+        for r in table.to_pylist():
+            dense = np.zeros(len(idf), np.float32)
+            dense[np.frombuffer(r["slots"], "<u4")] = np.frombuffer(r["weights"], "<f4")
+            own.append((dense, r["known"]))
+        own.sort(key=lambda v: v[0].tobytes())  # whatever order they came in
         means = cluster(np.array([v for v, _ in own]), settings.clusters)
         nearest = [closeness(v, known, means).max() for v, known in own]
         limit = settings.slack * float(np.quantile(nearest, settings.outliers))
-        centroids += list(means)
-        langs += [lang] * len(means)
-        least += [limit] * len(means)
-    if not langs:
+        n = len(means)
+        return pa.table(
+            {
+                "lang": pa.array([table["lang"][0].as_py()] * n, pa.string()),
+                "number": pa.array(range(n), pa.int32()),
+                "centroid": pa.array([m.astype("<f4").tobytes() for m in means], pa.binary()),
+                "least": pa.array([limit] * n, pa.float64()),
+            }
+        )
+
+    sparse = sample.mapInArrow(vectors, "lang string, slots binary, weights binary, known double")
+    learned = sparse.where(F.length("slots") > 0).groupBy("lang")
+    found = learned.applyInArrow(learn, "lang string, number int, centroid binary, least double").collect()
+    if not found:
         return None
-    return Model(codes, idf, np.array(centroids, np.float64), langs, np.array(least))
+    found = sorted(found, key=lambda r: (r["lang"], r["number"]))
+    centroids = np.array([np.frombuffer(r["centroid"], "<f4") for r in found], np.float64)
+    return Model(codes, idf, centroids, [r["lang"] for r in found], np.array([r["least"] for r in found]))
 
 
 def cluster(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
