@@ -100,10 +100,13 @@ class Search:
         if not self.notice.errors:
             return exact
         found = list(exact)
+        hits = sorted({p for seed in self.seeds for p in places(text, seed)})
+        if not hits:
+            return exact
         starts = [s for s, _, _ in exact]
         reach = len(self.exact) + self.notice.errors
         spaces = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
-        for begin, end in self._windows(text, reach, spaces):
+        for begin, end in self._windows(text, np.array(hits), reach, spaces):
             for m in self._best_first(text, begin, end, reach, spaces):
                 errors = sum(m.fuzzy_counts)
                 first = m.start() + len(m[0]) - len(m[0].lstrip(b" "))
@@ -155,9 +158,10 @@ class Search:
             for a, b in sorted(again):
                 search(a, b)
 
-    def _windows(self, text: bytes, reach: int, spaces: np.ndarray) -> list[tuple[int, int]]:
+    def _windows(
+        self, text: bytes, at: np.ndarray, reach: int, spaces: np.ndarray
+    ) -> list[tuple[int, int]]:
         """Stretches around exact pieces, from word to word, joined where they meet."""
-        at = np.array(sorted({p for seed in self.seeds for p in places(text, seed)}), np.int64)
         before = np.searchsorted(spaces, np.maximum(0, at - reach), "right") - 1
         after = np.searchsorted(spaces, np.minimum(len(text) - 1, at + reach))
         spans = zip(spaces[before].tolist(), (spaces[after] + 1).tolist(), strict=True)
