@@ -29,3 +29,15 @@ def spark(tmp_path_factory):
 def rows():
     """Rows as sorted plain tuples."""
     return lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def small_jobs(spark):
+    """For tests of many small jobs: compiling their code would take longer than running them."""
+    settings = {"spark.sql.shuffle.partitions": "2", "spark.sql.codegen.wholeStage": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)

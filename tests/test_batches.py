@@ -7,6 +7,8 @@ import pytest
 from cataloom.operators.ids import batch_progress, with_batch
 from cataloom.sources import batches, versions
 
+pytestmark = pytest.mark.usefixtures("small_jobs")
+
 FIELDS = ("appid", "name", "absent")
 
 

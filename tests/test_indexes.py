@@ -10,6 +10,8 @@ from cataloom.operators.price_cells import price_index, rank_in_range
 from cataloom.operators.ranking import CRITERIA, rank_by_dimension, related_labels
 from cataloom.operators.search import Facet, search
 
+pytestmark = pytest.mark.usefixtures("small_jobs")
+
 COLUMNS = ("name", "price_usd")
 KEYS = {"fact_id": "id_app", "dim_id": "id_tag", "label": "tag"}
 

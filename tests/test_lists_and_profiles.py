@@ -13,6 +13,8 @@ from cataloom.operators.label_lists import canonical_labels, runs
 from cataloom.operators.profiles import QUANTILES, TABLE, stored_profile, update_profiles
 from cataloom.sources import snapshots
 
+pytestmark = pytest.mark.usefixtures("small_jobs")
+
 
 def brute(text, names):
     if text is None:

@@ -11,6 +11,8 @@ from cataloom.schemas import CLEAN
 from cataloom.sources import snapshots, tables, versions
 from test_jobs import landed, record  # noqa: F401
 
+pytestmark = pytest.mark.usefixtures("small_jobs")
+
 
 def numbers(spark, *values):
     return spark.createDataFrame([(v,) for v in values], "n int")

@@ -10,6 +10,8 @@ from cataloom.schemas import CORRUPT
 from cataloom.sources.raw_csv import split_raw_csv
 from cataloom.sources.split_csv import records, split_csv, split_states, _lines
 
+pytestmark = pytest.mark.usefixtures("small_jobs")
+
 TEXT = T.StructType([T.StructField(n, T.StringType()) for n in ("a", "c", "b")])
 
 
