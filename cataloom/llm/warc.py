@@ -254,10 +254,12 @@ def read(path: str, index: DataFrame, payloads: bool = True) -> DataFrame:
     """Every indexed record out of the bundles below ``path``: id, type, URI, the page a revisit
     refers to, size and bare hexadecimal SHA-1 of the full payload, and the payload stored.
 
-    A task opens the bundles that the index sends to it and reads each frame it needs once. A
+    A task opens the bundles that the index sends to it and reads each frame it needs once. There
+    are as many tasks as bundles, which are of bounded size, however little of the index that is. A
     digest or id that is not the one announced is an error.
     """
-    wanted = index.groupBy("bundle").agg(
+    bundles = max(1, index.select("bundle").distinct().count())
+    wanted = index.repartition(bundles, "bundle").groupBy("bundle").agg(
         F.collect_list(F.struct("frame", "offset", F.col("id").cast("string").alias("id"))).alias(
             "records"
         )

@@ -98,3 +98,14 @@ def test_damage_is_an_error():
 
 def test_no_pages(spark):
     assert warc.archive(pages(spark, [])).count() == 0
+
+
+def test_reading_is_dealt_by_bundles(spark, tmp_path):
+    pages = spark.createDataFrame(
+        [(i, f"http://h/{i}", f"page {i}") for i in range(60)], "page_id bigint, url string, html string"
+    )
+    index = warc.write(pages.repartition(12), str(tmp_path))
+    bundles = index.select("bundle").distinct().count()
+    back = warc.read(str(tmp_path), index)
+    assert bundles == 12 and back.rdd.getNumPartitions() == 12
+    assert back.count() == 60
