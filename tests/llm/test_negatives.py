@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cataloom.llm.negatives import Range, Segment, Settings, mine, pack, search
 
 ROWS = "vec_id bigint, embedding array<double>, label int, id int, x string, part int, score string"
-SMALL = Settings(scale=4, segment=7, segments=2, anchors=3, first=2)
+SMALL = Settings(scale=4, segment=15, segments=2, anchors=10, first=2)
 
 
 def brute(rows, asked, s):
@@ -42,7 +42,7 @@ def made(spark, rows):
     return spark.createDataFrame([(i, v, label, 1, "a", 2, "b") for i, v, label in rows], ROWS)
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_ties_repeats_and_signs(spark, rows, seed):
     draw = np.random.default_rng(seed)
     # Few different entries, so that scores tie; some labels are rare.
