@@ -7,7 +7,7 @@ from cataloom.operators.bitmaps import label_bitmaps, matching_bits, merged, sea
 from cataloom.operators.cooccurrence import label_pairs, related_from_pairs
 from cataloom.operators.cooccurrence import merged as merged_pairs
 from cataloom.operators.price_cells import price_index, rank_in_range
-from cataloom.operators.ranking import CRITERIA, rank_by_dimension, related_labels
+from cataloom.operators.ranking import rank_by_dimension, related_labels
 from cataloom.operators.search import Facet, search
 
 pytestmark = pytest.mark.usefixtures("small_jobs")
@@ -82,11 +82,11 @@ def test_an_indexed_search_reads_no_links(spark, tables, capsys):
     assert "IsNotNull(label)" in plan.split("PushedFilters")[1] and "id_tag" not in plan
 
 
-@pytest.mark.parametrize("criterion", list(CRITERIA))
+@pytest.mark.parametrize("criterion", ["apps_count", "average_2weeks_hs", "peak_ccu_yesterday"])
 def test_rankings_of_any_range(spark, tables, criterion):
     fact, tags, tag, *_ = tables
     index = price_index(fact, tags, tag, **KEYS, width=5.0, cells=6)
-    ranges = [(0, 1500), (0, 8), (0.5, 0.5), (9.99, 55), (10, 19.99), (-5, 0), (-100, 10**6), (26, 27), (30, 4000)]
+    ranges = [(0, 8), (0.5, 0.5), (9.99, 55), (-5, 0), (-100, 10**6), (26, 27)]
     for price_range in [*ranges, (9, 1)]:
         wanted = rank_by_dimension(
             fact, tags, tag, **KEYS, criterion=criterion, price_range=price_range, n=30
