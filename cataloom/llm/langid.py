@@ -205,14 +205,13 @@ def fit(
 
     def learn(table: pa.Table) -> pa.Table:
         """The centroids of one language."""
-        own = []
-        for r in table.to_pylist():
-            dense = np.zeros(len(idf), np.float32)
-            dense[np.frombuffer(r["slots"], "<u4")] = np.frombuffer(r["weights"], "<f4")
-            own.append((dense, r["known"]))
-        own.sort(key=lambda v: v[0].tobytes())  # whatever order they came in
-        means = cluster(np.array([v for v, _ in own]), settings.clusters)
-        nearest = [closeness(v, known, means).max() for v, known in own]
+        # In an order of their own, whatever order they came in.
+        rows_ = sorted(table.to_pylist(), key=lambda r: (r["slots"], r["weights"]))
+        dense = np.zeros((len(rows_), len(idf)), np.float32)
+        for at, r in zip(dense, rows_, strict=True):
+            at[np.frombuffer(r["slots"], "<u4")] = np.frombuffer(r["weights"], "<f4")
+        means = cluster(dense, settings.clusters)
+        nearest = [closeness(v, r["known"], means).max() for v, r in zip(dense, rows_, strict=True)]
         limit = settings.slack * float(np.quantile(nearest, settings.outliers))
         n = len(means)
         return pa.table(
