@@ -58,7 +58,8 @@ class Settings:
     negatives: int = 3
     low: int = 50  # a negative's score is at least this many hundredths of the positive's
     high: int = 95  # and at most so many
-    segment: int = 4096  # rows a segment aims at
+    segment: int = 4096  # rows a segment aims at,
+    numbers: int = 1 << 18  # and entries, which long vectors reach first
     segments: int = 8  # per cell
     anchors: int = 256  # per cell
     first: int = 32  # entries read of each list before the first test
@@ -179,9 +180,11 @@ def segments(rows: DataFrame, by_label: bool, settings: Settings) -> DataFrame:
     """Sorted lists of all rows, or of each label's rows, in parts of bounded size."""
     key = F.col("label") if by_label else F.lit("")
     keyed = rows.select("dimension", key.alias("label"), "id", F.col("label").alias("of"), "x")
-    parts = keyed.groupBy("dimension", "label").agg(
-        F.ceil(F.count("*") / settings.segment).cast("int").alias("parts")
+    rows_each = F.least(
+        F.lit(settings.segment), F.greatest(F.lit(1), F.floor(settings.numbers / F.greatest("dimension", F.lit(1))))
     )
+    parts = keyed.groupBy("dimension", "label").agg(F.count("*").alias("n"))
+    parts = parts.select("dimension", "label", F.ceil(F.col("n") / rows_each).cast("int").alias("parts"))
     parts = broadcast_if_small(materialize(parts, "parts"))
     keyed = keyed.join(parts, ["dimension", "label"])
     keyed = keyed.withColumn("part", F.pmod(F.xxhash64("id", "of"), "parts").cast("int")).drop("parts")
