@@ -453,3 +453,40 @@ def test_no_machine_local_folder_on_a_cluster():
         for folder in ("hdfs://name/tmp", "file:/shared", "s3a://bucket/tmp/"):
             assert storage.shared_dir(FakeSession(master, folder)) == folder.rstrip("/")
     assert storage.shared_dir(FakeSession("local[2]", "/tmp/any")) == "/tmp/any"
+
+
+class Elsewhere:
+    """The session as if on a cluster, with another setting; ``lost``: files the driver misses."""
+
+    def __init__(self, spark, folder, lost=0):
+        context = spark.sparkContext
+        self.sparkContext = type(
+            "Context",
+            (),
+            {"master": "local-cluster[2,1,1024]", "__getattr__": lambda _, name: getattr(context, name)},
+        )()
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder)})
+        self.range = spark.range
+        self.read = spark.read if not lost else self
+        self.lost, self.inner = lost, spark
+
+    def schema(self, kinds):
+        return self
+
+    def parquet(self, path):
+        found = self.inner.read.parquet(path)
+        return found.limit(found.count() - self.lost)
+
+
+def test_a_bare_folder_on_a_cluster_is_taken_if_all_reach_it(spark, tmp_path):
+    folder = tmp_path / "reached"
+    there = Elsewhere(spark, f"{folder}/")
+    assert storage.shared_dir(there) == f"file:{folder}"
+    trials = sorted((folder / "cataloom").iterdir())
+    assert len(trials) == 1
+    assert storage.scratch_path(there, "x").startswith(f"file:{folder}/cataloom/")
+    assert sorted((folder / "cataloom").iterdir()) == trials
+    (tmp_path / "plain").write_text("no folder")
+    for unreached in (Elsewhere(spark, str(tmp_path / "plain")), Elsewhere(spark, str(tmp_path / "own"), 1)):
+        with pytest.raises(RuntimeError, match="needs a scheme"):
+            storage.shared_dir(unreached)
