@@ -391,3 +391,35 @@ def test_layouts_of_rounds_are_those_of_one_by_one(spark, monkeypatch, at_once,
         assert [(r["layout"], bytes(r["reference"])) for r in references] == [
             (k, v[0]) for k, v in sorted(found.items())
         ]
+
+
+def test_long_lists_of_nodes_are_aligned_like_short_ones(monkeypatch):
+    import random
+
+    wrapper.forget_shapes()
+    draw = random.Random(5)
+    leaves = [wrapper.shape(label, ()) for label in range(3)]
+    kinds = [*leaves, *(wrapper.shape(7, tuple(draw.choices(leaves, k=n))) for n in range(1, 5))]
+
+    def same(a, b):
+        said = [[draw.randrange(30) for _ in z] for z in (a, b)]
+        monkeypatch.setattr(wrapper, "CELLS", 1 << 30)
+        plain = wrapper.align(a, b, *said)
+        monkeypatch.setattr(wrapper, "CELLS", 0)
+        assert wrapper.align(a, b, *said) == plain
+
+    same([kinds[0]] + [kinds[1]] * 300, [kinds[1]] * 300 + [kinds[0]])
+    for block, marks in [(1, 2), (3, 2), (64, 32)]:
+        monkeypatch.setattr(wrapper, "BLOCK", block)
+        monkeypatch.setattr(wrapper, "MARKS", marks)
+        for n in range(40):
+            a = draw.choices(kinds[: draw.randrange(1, 8)], k=draw.randrange(1, 60))
+            b = [x for x in a if draw.random() < 0.8] if n % 3 else draw.choices(kinds, k=draw.randrange(1, 60))
+            same(a, b)
+    wrapper.forget_shapes()
+
+
+def test_a_moved_node_of_a_long_page_costs_no_other():
+    heading, lines = "<h2>Part</h2>", "".join(f"<p>line {i}</p>" for i in range(300))
+    trees = [wrapper.skeleton(wrapper.parse(f"<div>{x}</div>"))[0] for x in (heading + lines, lines + heading)]
+    assert (wrapper.match(*trees) >= 0).sum() == len(trees[0].labels) - 1
